@@ -1,0 +1,524 @@
+"""Named queries over the test tables, one per operator."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillmart.functions import clock, money
+from tillmart.operators import attribution, collection, funnel, keyed, quality, rfm, standardize
+from tillmart.plans import marts, reports
+from tillmart.schemas import FUNNEL_MART, ORDER_LOOKBACK_DAYS, STAGED_LOGS
+from tillmart.sources import raw_zone, star_tables
+from tillmart.sources.day_table import DayTable
+from tillmart.sources.shared import new_folder
+from tillmart.streaming.behavior_ingest import ingest_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Dates of the test tables: events cover 2024-01-01 to 2024-01-30.
+RUN_DATE = date(2024, 1, 30)
+AS_OF = date(2024, 1, 31)
+WINDOW = collection.refresh_window([RUN_DATE])
+RAW_KEPT_FROM = date(2024, 1, 5)
+
+ORDER_COLUMNS = (
+    "order_id",
+    "user_id",
+    "product_id",
+    "payment_amount",
+    "discount_amount",
+    "amount_before_fx",
+    "currency_code",
+    "platform",
+    "paid_at",
+    "order_status",
+    "fx_rate",
+    "raw_id",
+)
+LOG_COLUMNS = (
+    "log_id",
+    "session_id",
+    "user_id",
+    "event_name",
+    "utm_source",
+    "utm_medium",
+    "device_type",
+    "event_at",
+    "event_date",
+    "raw_id",
+)
+
+_QUERIES: dict[str, Query] = {}
+
+
+def query(fn: Query) -> Query:
+    _QUERIES[fn.__name__] = fn
+    return fn
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+# -- raw zone ----------------------------------------------------------------------------
+
+
+@query
+def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star_tables.raw_orders(spark, sf_dir).select(
+        "raw_id", "source_api", "batch_date", "payload_json", "ingest_seq"
+    )
+
+
+@query
+def raw_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = new_folder(spark, "raw-orders")
+    raw_zone.land(star_tables.raw_orders(spark, sf_dir), table)
+    batches = raw_zone.scan(spark, table, collection.order_dates(RUN_DATE))
+    return batches.select("raw_id", "source_api", "batch_date", "payload_json")
+
+
+@query
+def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan of every batch date as run date, with the number of raw orders and payloads to read."""
+    orders = star_tables.raw_orders(spark, sf_dir).select(F.lit("orders").alias("feed"), "batch_date")
+    logs = star_tables.raw_sessions(spark, sf_dir).select(F.lit("logs").alias("feed"), "batch_date")
+    sizes = orders.unionByName(logs).groupBy("feed", "batch_date").agg(F.count("*").alias("n"))
+    runs = sizes.where(F.col("feed") == "orders").select(F.col("batch_date").alias("run_date"))
+    plan = collection.collection_plan(runs)
+    return plan.join(sizes, ["feed", "batch_date"], "left").select(
+        "run_date", "feed", "batch_date", F.coalesce("n", F.lit(0)).alias("raw_rows")
+    )
+
+
+# -- standardisation ---------------------------------------------------------------------
+
+
+@query
+def fx_rate_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate of each currency on each payment day, and the orders it applies to."""
+    used = star_tables.orders(spark, sf_dir).groupBy("currency_code", "paid_date").agg(
+        F.count("*").alias("n_orders")
+    )
+    return used.withColumn("fx_rate", money.fx_rate(F.lower("currency_code"), F.col("paid_date")))
+
+
+@query
+def std_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    amount = F.col("payment_amount")
+    rated = star_tables.orders(spark, sf_dir).withColumn(
+        "fx_rate", money.fx_rate(F.col("currency_code"), F.col("paid_date"))
+    )
+    return rated.select(
+        "order_id",
+        "currency_code",
+        "fx_rate",
+        amount.alias("amount_before_fx"),
+        money.in_won(amount, F.col("currency_code"), F.col("fx_rate")).alias("payment_won"),
+    )
+
+
+@query
+def std_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event time written in six ways and read back."""
+    logs = star_tables.logs(spark, sf_dir, valid_only=False)
+    wall = F.replace(F.col("event_at").cast("string"), F.lit(" "), F.lit("T"))
+    forms = {
+        "naive": wall,
+        "spaced": F.col("event_at").cast("string"),
+        "zulu": F.concat(wall, F.lit("Z")),
+        "offset": F.concat(wall, F.lit("-05:30")),
+        "fraction": F.concat(wall, F.lit(".987654+09:00")),
+        "junk": F.concat(wall, F.lit(" (local)")),
+    }
+    read = {name: clock.kst_timestamp(text) for name, text in forms.items()}
+    return logs.select(
+        "log_id",
+        *[at.alias(name) for name, at in read.items()],
+        clock.kst_text(read["zulu"]).alias("zulu_text"),
+        F.to_date(read["zulu"]).alias("zulu_date"),
+    )
+
+
+@query
+def std_orders_naver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = star_tables.raw_orders(spark, sf_dir).where(F.col("source_api") == "naver_commerce_api")
+    return standardize.naver_orders(raw).select(*ORDER_COLUMNS)
+
+
+@query
+def std_orders_amazon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = star_tables.raw_orders(spark, sf_dir).where(F.col("source_api") == "amazon_sp_api")
+    return standardize.amazon_orders(raw).select(*ORDER_COLUMNS)
+
+
+@query
+def orders_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize.orders(star_tables.raw_orders(spark, sf_dir)).select(
+        "order_id", "platform", "order_status", "batch_date", "payment_amount", "paid_date"
+    )
+
+
+@query
+def sessions_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize.session_events(star_tables.raw_sessions(spark, sf_dir)).select(
+        "raw_id", "event_pos", "event.event_id", "event.session_id", "event.event_name"
+    )
+
+
+@query
+def std_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize.behavior_logs(star_tables.raw_sessions(spark, sf_dir)).select(*LOG_COLUMNS)
+
+
+# -- staging writes ----------------------------------------------------------------------
+
+
+@query
+def orders_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of all orders, reduced to the newest."""
+    versions = standardize.orders(star_tables.raw_orders(spark, sf_dir))
+    return keyed.latest_orders(versions).select(*ORDER_COLUMNS)
+
+
+@query
+def logs_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of the first twenty days are in staging; a load of the last twenty comes in."""
+    logs = star_tables.logs(spark, sf_dir)
+    existing = logs.where(F.col("event_date") <= F.lit(date(2024, 1, 20)))
+    batch = logs.where(F.col("event_date") >= F.lit(date(2024, 1, 11)))
+    new = keyed.unseen(keyed.first_logs(batch), existing, "log_id")
+    columns = ["log_id", "session_id", "event_name", "event_at"]
+    return existing.select(F.lit("kept").alias("origin"), *columns).unionByName(
+        new.select(F.lit("inserted").alias("origin"), *columns)
+    )
+
+
+@query
+def upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order versions handed over per batch, and how many of them are the newest of their order."""
+    versions = standardize.orders(star_tables.raw_orders(spark, sf_dir))
+    narrow = versions.select("order_id", *keyed.ORDER_VERSION)
+    changed = keyed.latest_orders(narrow).groupBy("batch_date").agg(F.count("*").alias("changed"))
+    submitted = reports.submitted_per_batch(narrow, "order_id")
+    return submitted.join(changed, "batch_date", "left").select(
+        "batch_date", "submitted", F.coalesce("changed", F.lit(0)).alias("changed")
+    )
+
+
+@query
+def logs_drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop the run date from a staging table; what is left per day, and the count dropped."""
+    table = DayTable(spark, new_folder(spark, "stg-logs"), STAGED_LOGS, "event_date")
+    table.add(star_tables.logs(spark, sf_dir))
+    dropped = table.drop_day(RUN_DATE)
+    return (
+        table.read()
+        .groupBy("event_date")
+        .agg(F.count("*").alias("n_logs"))
+        .withColumn("n_dropped", F.lit(dropped).cast("bigint"))
+    )
+
+
+@query
+def behavior_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw payload files, streamed into staging."""
+    root = new_folder(spark, "stream")
+    raw_zone.land(star_tables.raw_sessions(spark, sf_dir), f"{root}/raw")
+    table = DayTable(spark, f"{root}/stg", STAGED_LOGS, "event_date")
+    stream = ingest_stream(spark, f"{root}/raw", table, f"{root}/checkpoint")
+    stream.awaitTermination()
+    return table.read().select(*LOG_COLUMNS)
+
+
+@query
+def status_recheck_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = star_tables.orders_with_items(spark, sf_dir).withColumns(
+        {
+            "amount_before_fx": F.col("payment_amount"),
+            "fx_rate": money.fx_rate(F.col("currency_code"), F.col("paid_date")),
+        }
+    )
+    return collection.recheck_candidates(orders, RUN_DATE)
+
+
+# -- attribution and funnel --------------------------------------------------------------
+
+
+@query
+def user_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.main_platform(star_tables.orders(spark, sf_dir))
+
+
+@query
+def first_touch_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.first_touch(star_tables.logs(spark, sf_dir))
+
+
+@query
+def last_touch_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.last_touch(star_tables.logs(spark, sf_dir))
+
+
+@query
+def enriched_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.enriched_logs(
+        star_tables.logs(spark, sf_dir), star_tables.orders(spark, sf_dir), WINDOW
+    )
+
+
+@query
+def funnel_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel.funnel_counts(
+        star_tables.logs(spark, sf_dir), star_tables.orders(spark, sf_dir), WINDOW
+    )
+
+
+@query
+def order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel.confirmed_purchases(
+        star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir), WINDOW
+    )
+
+
+def _funnel(spark: SparkSession, sf_dir: str, window: tuple[date, date] | None = None) -> DataFrame:
+    return funnel.funnel_daily(
+        star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir), window
+    )
+
+
+def _shown(mart: DataFrame) -> DataFrame:
+    """The capped rate as a double, and the uncapped one next to it."""
+    return mart.withColumns(
+        {
+            "final_conversion_rate": F.col("final_conversion_rate").cast("double"),
+            "uncapped_rate": F.col("purchase_completed_count") / F.col("total_visitors"),
+        }
+    )
+
+
+@query
+def funnel_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_funnel(spark, sf_dir))
+
+
+@query
+def funnel_daily_all_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older form of the mart: no date window and no status filter."""
+    return _shown(
+        funnel.funnel_daily(
+            star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir), None, status=None
+        )
+    )
+
+
+@query
+def funnel_window_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart built from all statuses, then refreshed with paid orders for the window only."""
+    orders, logs = star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir)
+    mart = DayTable(spark, new_folder(spark, "funnel"), FUNNEL_MART, "base_date")
+    first = funnel.funnel_daily(orders, logs, None, status=None)
+    mart.replace_all(first.withColumn("refreshed_at", F.current_timestamp()))
+    marts.refresh_funnel(mart, orders, logs, WINDOW)
+    return _shown(mart.read().drop("refreshed_at"))
+
+
+# -- RFM ---------------------------------------------------------------------------------
+
+
+@query
+def rfm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.rfm_base(star_tables.orders(spark, sf_dir), AS_OF)
+
+
+@query
+def rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.rfm_scores(rfm.rfm_base(star_tables.orders(spark, sf_dir), AS_OF))
+
+
+@query
+def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.rfm_segments(star_tables.orders(spark, sf_dir), AS_OF)
+
+
+@query
+def rfm_segments_all_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.rfm_segments(star_tables.orders(spark, sf_dir), AS_OF, status=None)
+
+
+@query
+def rfm_segment_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.segment_sample(rfm_segments(spark, sf_dir))
+
+
+@query
+def rfm_segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.segment_counts(rfm_segments(spark, sf_dir))
+
+
+@query
+def rfm_segment_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.segment_kpis(rfm_segments(spark, sf_dir))
+
+
+# -- funnel reports ----------------------------------------------------------------------
+
+
+@query
+def dash_filtered_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reports.filtered_funnel(
+        _funnel(spark, sf_dir), ["NAVER"], ["google", "(direct)"], WINDOW
+    )
+    return _shown(reports.newest_first(rows))
+
+
+@query
+def dash_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.filter_options(_funnel(spark, sf_dir))
+
+
+@query
+def dash_funnel_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.funnel_totals(_funnel(spark, sf_dir))
+
+
+@query
+def dash_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.kpis(_funnel(spark, sf_dir))
+
+
+@query
+def dash_stage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.stage_detail(_funnel(spark, sf_dir))
+
+
+@query
+def dash_biggest_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.biggest_drop(reports.stage_detail(_funnel(spark, sf_dir)))
+
+
+@query
+def dash_funnel_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.trend(_funnel(spark, sf_dir))
+
+
+@query
+def dash_breakdown_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.breakdown(_funnel(spark, sf_dir), "platform")
+
+
+@query
+def dash_breakdown_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.breakdown(_funnel(spark, sf_dir), "utm_source")
+
+
+# -- zones and runs ----------------------------------------------------------------------
+
+
+def _zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.zone_row_counts(
+        {
+            "raw_ecommerce_orders": star_tables.raw_orders(spark, sf_dir),
+            "raw_user_behavior_logs": star_tables.raw_sessions(spark, sf_dir),
+            "stg_ecommerce_orders": star_tables.orders(spark, sf_dir),
+            "stg_user_behavior_logs": star_tables.logs(spark, sf_dir),
+            "mart_user_funnel_daily": _funnel(spark, sf_dir),
+            "mart_user_rfm_scores": rfm.rfm_base(star_tables.orders(spark, sf_dir), AS_OF),
+        }
+    )
+
+
+@query
+def zone_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zone_counts(spark, sf_dir)
+
+
+@query
+def zone_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.zone_health(_zone_counts(spark, sf_dir))
+
+
+@query
+def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.freshness(star_tables.logs(spark, sf_dir), star_tables.orders(spark, sf_dir))
+
+
+@query
+def order_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = standardize.orders(star_tables.raw_orders(spark, sf_dir))
+    return reports.status_counts(keyed.latest_orders(versions))
+
+
+@query
+def status_change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.status_changes(standardize.orders(star_tables.raw_orders(spark, sf_dir)))
+
+
+@query
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = standardize.orders(star_tables.raw_orders(spark, sf_dir))
+    logs = standardize.behavior_logs(star_tables.raw_sessions(spark, sf_dir))
+    runs = logs.select(F.col("batch_date").alias("run_date")).distinct()
+    return reports.run_totals(collection.collection_plan(runs, ORDER_LOOKBACK_DAYS), orders, logs)
+
+
+# -- data rules --------------------------------------------------------------------------
+
+
+@query
+def dq_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over staging-shaped orders; those without order lines have no product or discount."""
+    orders = star_tables.orders_with_items(spark, sf_dir).withColumn(
+        "amount_before_fx", F.col("payment_amount")
+    )
+    return quality.rule_counts(orders, quality.order_rules())
+
+
+@query
+def dq_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rule_counts(
+        star_tables.logs(spark, sf_dir, valid_only=False), quality.log_rules()
+    )
+
+
+@query
+def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders that staging rejects, with the rules they break."""
+    versions = standardize.orders(star_tables.raw_orders(spark, sf_dir))
+    flagged = quality.with_violations(keyed.latest_orders(versions), quality.order_rules())
+    return quality.rejected(flagged).select(
+        "order_id", F.array_join("violations", ", ").alias("violations")
+    )
+
+
+@query
+def dq_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    funnel_counts = quality.rule_counts(_funnel(spark, sf_dir), quality.funnel_rules())
+    rfm_counts = quality.rule_counts(rfm_segments(spark, sf_dir), quality.rfm_rules())
+    return funnel_counts.select(F.lit("funnel").alias("mart"), "rule", "violations").unionByName(
+        rfm_counts.select(F.lit("rfm").alias("mart"), "rule", "violations")
+    )
+
+
+@query
+def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with more than one version in the raw zone."""
+    versions = standardize.orders(star_tables.raw_orders(spark, sf_dir))
+    return quality.duplicate_keys(versions, "order_id")
+
+
+@query
+def dq_orphan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged orders whose raw row is gone because old batches were purged."""
+    raw = star_tables.raw_orders(spark, sf_dir)
+    staged = keyed.latest_orders(standardize.orders(raw)).select("order_id", "raw_id", "batch_date")
+    return quality.orphans(staged, raw.where(F.col("batch_date") >= F.lit(RAW_KEPT_FROM)))
+
+
+@query
+def dq_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.volume(star_tables.logs(spark, sf_dir))
