@@ -1,0 +1,170 @@
+"""Report frames and data rules on small inputs."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from samples import logs_frame, orders_frame
+from tillmart.operators import quality
+from tillmart.plans import reports
+
+DAY = date(2026, 8, 10)
+FUNNEL = (
+    "base_date date, platform string, utm_source string, total_visitors bigint, product_views bigint, "
+    "add_to_cart_count bigint, checkout_started_count bigint, purchase_completed_count bigint, "
+    "final_conversion_rate decimal(8,4)"
+)
+
+
+def funnel(spark, *data):
+    return spark.createDataFrame(
+        [(d, p, u, *counts, Decimal(0)) for d, p, u, counts in data], FUNNEL
+    )
+
+
+@pytest.fixture
+def some(spark):
+    return funnel(
+        spark,
+        (DAY, "NAVER", "google", (10, 8, 4, 2, 1)),
+        (DAY, "AMAZON", "google", (10, 10, 4, 4, 12)),
+        (date(2026, 8, 11), "NAVER", "(direct)", (0, 0, 0, 0, 0)),
+    )
+
+
+def test_filters(some):
+    assert reports.filtered_funnel(some).count() == 3
+    assert reports.filtered_funnel(some, [], [], None).count() == 3
+    assert reports.filtered_funnel(some, ["NAVER"]).count() == 2
+    assert reports.filtered_funnel(some, ["NAVER"], ["google"]).count() == 1
+    assert reports.filtered_funnel(some, dates=(DAY, DAY)).count() == 2
+    assert reports.filtered_funnel(some, dates=(DAY,)).count() == 3
+    assert [r[0] for r in reports.newest_first(some).select("base_date").collect()][0] == date(2026, 8, 11)
+
+
+def test_stage_detail_and_biggest_drop(some):
+    detail = reports.stage_detail(some)
+    assert [tuple(r)[2:] for r in detail.orderBy("stage_no").collect()] == [
+        (20, 100.0, 100.0, 0.0),
+        (18, 90.0, 90.0, 10.0),
+        (8, 40.0, 8 / 18 * 100, 100 - 8 / 18 * 100),
+        (6, 30.0, 75.0, 25.0),
+        (13, 65.0, 13 / 6 * 100, 100 - 13 / 6 * 100),
+    ]
+    assert reports.biggest_drop(detail).first()["stage_no"] == 3
+
+
+def test_nothing_to_report(spark):
+    empty = funnel(spark)
+    assert tuple(reports.funnel_totals(empty).first()) == (0, 0, 0, 0, 0)
+    assert tuple(reports.kpis(empty).first()) == (0, 0, 0.0, 0, 0)
+    detail = [tuple(r)[2:] for r in reports.stage_detail(empty).orderBy("stage_no").collect()]
+    assert detail == [(0, 0.0, 100.0, 0.0)] + [(0, 0.0, 0.0, 100.0)] * 4
+    assert reports.biggest_drop(reports.stage_detail(empty)).first()["stage_no"] == 2
+
+
+def test_absent_column_counts_zero(some):
+    assert reports.funnel_totals(some.drop("product_views")).first()["product_views"] == 0
+
+
+def test_rates_are_not_capped(some):
+    by = {r["platform"]: r["cvr"] for r in reports.breakdown(some, "platform").collect()}
+    assert by == {"AMAZON": 120.0, "NAVER": 10.0}
+    assert [r["cvr"] for r in reports.trend(some).collect()] == [13 / 20 * 100, 0.0]
+
+
+def test_filter_options(some):
+    assert rows(reports.filter_options(some)) == sorted(
+        [
+            ("platform", "NAVER"), ("platform", "AMAZON"), ("utm_source", "google"),
+            ("utm_source", "(direct)"), ("min_date", "2026-08-10"), ("max_date", "2026-08-11"),
+        ],
+        key=repr,
+    )
+
+
+def rfm(spark, *data):
+    return spark.createDataFrame(
+        [(u, DAY, 1, 1, Decimal(m), 5, 4, 3, s) for u, m, s in data],
+        "user_id string, last_purchase_date date, recency_days int, frequency_count bigint, "
+        "monetary_amount decimal(18,2), r_score int, f_score int, m_score int, segment_name string",
+    )
+
+
+def test_segment_reports(spark):
+    users = rfm(spark, ("a", 1, "VIP"), ("b", 3, "VIP"), ("c", 3, "VIP"), ("d", 9, "이탈위기"))
+    sample = [(r["user_id"], r["rfm"], r["action"]) for r in reports.segment_sample(users).collect()]
+    assert sample == [
+        ("b", "R5 · F4 · M3", "얼리 액세스 · 리퍼럴 프로그램"),
+        ("c", "R5 · F4 · M3", "얼리 액세스 · 리퍼럴 프로그램"),
+        ("d", "R5 · F4 · M3", "Win-back 쿠폰 발송"),
+    ]
+    assert [tuple(r) for r in reports.segment_counts(users).collect()] == [("VIP", 3, 75.0), ("이탈위기", 1, 25.0)]
+    assert tuple(reports.segment_kpis(users).first()) == (3, 1, 0, 0, 1, 25.0)
+
+
+def test_share_rounds_half_to_even(spark):
+    users = rfm(spark, *[(str(n), 1, "VIP" if n < 1 else "겨울잠") for n in range(16)])  # 6.25 and 93.75
+    assert {r["segment_name"]: r["pct"] for r in reports.segment_counts(users).collect()} == {
+        "VIP": 6.2, "겨울잠": 93.8,
+    }
+
+
+def test_zone_counts_and_health(spark, some):
+    tables = {"raw_user_behavior_logs": some, "stg_user_behavior_logs": some, "mart_user_funnel_daily": some}
+    assert reports.zone_health(reports.zone_row_counts(tables)).first()[0] is True
+    tables["mart_user_funnel_daily"] = some.limit(0)
+    assert reports.zone_health(reports.zone_row_counts(tables)).first()[0] is False
+    tables["mart_user_funnel_daily"] = None
+    counts = reports.zone_row_counts(tables)
+    assert dict(rows(counts))["mart_user_funnel_daily"] is None
+    assert reports.zone_health(counts).first()[0] is False
+
+
+def test_freshness(spark):
+    assert str(reports.freshness(logs_frame(spark), orders_frame(spark)).first()[0]) == "2026-08-19 15:00:00"
+
+
+def test_rules_count_and_split(spark):
+    orders = orders_frame(spark).withColumns(
+        {
+            "platform": F.when(F.col("order_id") == "ORD-NV-001", "SHOP").otherwise(F.col("platform")),
+            "discount_amount": F.when(F.col("order_id") == "ORD-NV-002", -1).otherwise(F.col("discount_amount")).cast("decimal(18,2)"),
+            "currency_code": F.when(F.col("order_id") == "ORD-NV-003", "WON!").otherwise(F.col("currency_code")),
+            "paid_at": F.when(F.col("order_id") != "ORD-NV-004", F.col("paid_at")),
+        }
+    )
+    counts = dict(rows(quality.rule_counts(orders, quality.order_rules())))
+    assert {k: v for k, v in counts.items() if v} == {
+        "platform unknown": 1, "discount_amount negative": 1, "currency_code length": 1, "paid_at missing": 1,
+    }
+    flagged = quality.with_violations(orders, quality.order_rules())
+    assert quality.clean(flagged).count() == 2 and quality.rejected(flagged).count() == 4
+
+
+def test_mart_rules(spark, some):
+    bad = some.withColumn("final_conversion_rate", F.lit(Decimal("1.5")))
+    counts = dict(rows(quality.rule_counts(bad, quality.funnel_rules())))
+    assert counts["final_conversion_rate out of range"] == 3
+    users = rfm(spark, ("a", 1, "VIP"), ("b", -1, "other")).withColumn("recency_days", F.lit(-3))
+    counts = dict(rows(quality.rule_counts(users, quality.rfm_rules())))
+    assert counts["recency_days negative"] == 2 and counts["segment_name unknown"] == 1
+    assert counts["monetary_amount negative"] == 1
+
+
+def test_raw_rules(spark):
+    raw = spark.sql("SELECT 'r' AS raw_id, 'x' AS source_api, DATE '2026-01-01' AS batch_date, '{}' AS payload_json, timestamp_ntz'2026-01-01' AS fetched_at")
+    assert dict(rows(quality.rule_counts(raw, quality.raw_log_rules())))["source_api unknown"] == 1
+    assert dict(rows(quality.rule_counts(raw, quality.raw_order_rules())))["source_api unknown"] == 1
+
+
+def test_keys_references_volume(spark):
+    data = spark.createDataFrame([("a", "r1"), ("a", "r2"), ("b", None), ("c", "r9")], "k string, raw_id string")
+    raw = spark.createDataFrame([("r1",), ("r2",)], "raw_id string")
+    assert rows(quality.duplicate_keys(data, "k")) == [("a", 2)]
+    assert rows(quality.orphans(data, raw), "k") == [("c",)]
+    assert tuple(quality.volume(data, 4).first()) == (4, 4, True)
+    assert quality.volume(data).first()["enough"] is False

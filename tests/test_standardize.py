@@ -1,0 +1,190 @@
+"""Payload parsing, defaults, currency and time rules."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tillmart.functions import clock, fields, money
+from tillmart.operators import quality, standardize
+
+D = Decimal
+DAY = date(2026, 8, 17)
+
+
+def raw(spark, source, *payloads, day=DAY):
+    data = [(f"r{i}", source, day, p, datetime(2026, 8, 18), i) for i, p in enumerate(payloads)]
+    return spark.createDataFrame(
+        data,
+        "raw_id string, source_api string, batch_date date, payload_json string, "
+        "fetched_at timestamp_ntz, ingest_seq bigint",
+    )
+
+
+def test_fx_week(spark):
+    days = spark.createDataFrame([(date(2026, 8, 17 + i),) for i in range(7)], "d date")
+    got = days.orderBy("d").select(money.fx_rate(F.lit("usd"), F.col("d"))).collect()
+    expected = ["1344.6", "1347.3", "1350.0", "1352.7", "1355.4", "1358.1", "1341.9"]
+    assert [r[0] for r in got] == [D(x) for x in expected]
+
+
+def test_fx_other_currencies(spark):
+    got = spark.range(1).select(
+        *[money.fx_rate(F.lit(c), F.lit(DAY)) for c in ("KRW", "JPY", "EUR")]
+    ).first()
+    assert tuple(got) == (D("0.9960"), D("9.1632"), None)
+
+
+TIMES = [
+    ("2026-08-17T15:30:00Z", datetime(2026, 8, 18, 0, 30)),
+    ("2026-08-17T15:30:00+09:00", datetime(2026, 8, 17, 15, 30)),
+    ("2026-08-17T15:30:00+0900", datetime(2026, 8, 17, 15, 30)),
+    ("2026-08-17T15:30:00-05:30", datetime(2026, 8, 18, 6, 0)),
+    ("2026-08-17T15:30:00.999999Z", datetime(2026, 8, 18, 0, 30)),
+    ("2026-08-17T15:30:00.999", datetime(2026, 8, 17, 15, 30)),
+    ("2026-08-17T15:30:00", datetime(2026, 8, 17, 15, 30)),
+    ("2026-08-17 15:30:00", datetime(2026, 8, 17, 15, 30)),
+    ("2026-08-17T15:30", datetime(2026, 8, 17, 15, 30)),
+    ("  2026-08-17T15:30:00Z ", datetime(2026, 8, 18, 0, 30)),
+    ("2026-08-17", datetime(2026, 8, 17)),
+    # Junk after the seconds: the first 19 characters count and an offset in the rest does not.
+    ("2026-08-17T15:30:00 KST", datetime(2026, 8, 17, 15, 30)),
+    ("2026-08-17T15:30:00+99:99", datetime(2026, 8, 17, 15, 30)),
+    ("2026-03-08T02:30:00", datetime(2026, 3, 8, 2, 30)),
+    ("2026-13-01T00:00:00", None),
+    ("15:30:00", None),
+    ("yesterday", None),
+    ("", None),
+    (None, None),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Seoul"])
+def test_timestamps(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(TIMES)], "i int, t string")
+        got = [r[0] for r in frame.orderBy("i").select(clock.kst_timestamp(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [at for _, at in TIMES]
+
+
+def test_naver_order(spark):
+    got = standardize.naver_orders(
+        raw(
+            spark,
+            "naver_commerce_api",
+            '{"orderNo":"1","buyerId":"U1","productNo":"P1","totalPayment":1000.5,"discountAmt":null,'
+            '"originAmt":2000,"currency":"KRW","paidDatetime":"2026-08-17T10:00:00"}',
+            '{"orderNo":"2","buyerId":"","productNo":"P1","totalPayment":"10","discountAmt":2,'
+            '"currency":"usd","paidDatetime":"2026-08-17T15:30:00Z","orderStatus":"SHIPPED"}',
+            '{"orderNo":"3","productNo":"P1","totalPayment":5,"paidDatetime":"2026-08-17T10:00:00"}',
+        )
+    )
+    assert rows(
+        got, "order_id", "user_id", "payment_amount", "discount_amount", "amount_before_fx",
+        "currency_code", "paid_at", "order_status", "fx_rate", "platform",
+    ) == [
+        ("1", "U1", D("1000.50"), D("0.00"), D("1000.50"), "KRW", datetime(2026, 8, 17, 10), "PAID", D("0.9960"), "NAVER"),
+        ("2", "UNKNOWN", D("13446.00"), D("2689.20"), D("10.00"), "USD", datetime(2026, 8, 18, 0, 30), "SHIPPED", D("1344.6000"), "NAVER"),
+        ("3", "UNKNOWN", D("5.00"), D("0.00"), D("5.00"), "KRW", datetime(2026, 8, 17, 10), "PAID", D("0.9960"), "NAVER"),
+    ]
+
+
+def test_amazon_order(spark):
+    head = '"ASIN":"P","PurchaseDate":"2026-08-17T15:30:00Z"'
+    got = standardize.amazon_orders(
+        raw(
+            spark,
+            "amazon_sp_api",
+            f'{{"AmazonOrderId":"1","BuyerEmail":"a","OrderTotal":{{"Amount":10,"CurrencyCode":"USD"}},'
+            f'"PromotionDiscount":{{"Amount":2.5,"CurrencyCode":"USD"}},{head}}}',
+            f'{{"AmazonOrderId":"2","BuyerEmail":null,"OrderTotal":{{"Amount":10,"CurrencyCode":"KRW"}},{head}}}',
+            f'{{"AmazonOrderId":"3","BuyerEmail":"a","OrderTotal":{{"Amount":10,"CurrencyCode":"usd"}},'
+            f'"PromotionDiscount":{{}},{head}}}',
+        )
+    )
+    assert rows(got, "order_id", "user_id", "payment_amount", "discount_amount", "amount_before_fx", "currency_code") == [
+        ("1", "a", D("13446.00"), D("3361.50"), D("12.50"), "USD"),
+        # The second source converts won amounts too.
+        ("2", "UNKNOWN", D("9.96"), D("0.00"), D("10.00"), "KRW"),
+        ("3", "a", D("13446.00"), D("0.00"), D("10.00"), "usd"),
+    ]
+
+
+REJECTED = {
+    "naver_commerce_api": [
+        ('"totalPayment":null', "payment_amount missing"),
+        ('"totalPayment":"many"', "payment_amount missing"),
+        ('"totalPayment":-1', "payment_amount negative"),
+        ('"totalPayment":1,"discountAmt":"junk"', "discount_amount missing"),
+        ('"totalPayment":1,"currency":"EUR"', "payment_amount missing"),
+        ('"totalPayment":1,"currency":null', "currency_code missing"),
+        ('"totalPayment":1,"orderStatus":null', "order_status missing"),
+        ('"totalPayment":1,"orderStatus":"LOST"', "order_status unknown"),
+        ('"totalPayment":1,"paidDatetime":"soon"', "paid_at missing"),
+    ],
+    "amazon_sp_api": [
+        ('"OrderTotal":{"Amount":null,"CurrencyCode":"USD"}', "payment_amount missing"),
+        ('"OrderTotal":"ten"', "payment_amount missing"),
+        ('"OrderTotal":{"Amount":1,"CurrencyCode":"USD"},"PromotionDiscount":null', "discount_amount missing"),
+        ('"OrderTotal":{"Amount":1,"CurrencyCode":"USD"},"PromotionDiscount":{"Amount":null}', "discount_amount missing"),
+        ('"OrderTotal":{"Amount":1,"CurrencyCode":"USD"},"PromotionDiscount":5', "discount_amount missing"),
+    ],
+}
+BODY = {
+    "naver_commerce_api": '"orderNo":"1","buyerId":"U","productNo":"P","paidDatetime":"2026-08-17T10:00:00",',
+    "amazon_sp_api": '"AmazonOrderId":"1","BuyerEmail":"U","ASIN":"P","PurchaseDate":"2026-08-17T10:00:00Z",',
+}
+
+
+@pytest.mark.parametrize("source", list(REJECTED))
+def test_rejected_orders(spark, source):
+    payloads = ["{" + BODY[source] + extra + "}" for extra, _ in REJECTED[source]]
+    if source == "naver_commerce_api":  # a later duplicate key must not hide the first
+        payloads[-1] = '{"orderNo":"1","buyerId":"U","productNo":"P","totalPayment":1,"paidDatetime":"soon"}'
+    flagged = quality.with_violations(
+        standardize.orders(raw(spark, source, *payloads)), quality.order_rules()
+    )
+    got = {r["raw_id"]: r["violations"] for r in quality.rejected(flagged).collect()}
+    for i, (_, rule) in enumerate(REJECTED[source]):
+        assert rule in got[f"r{i}"], payloads[i]
+
+
+def test_broken_json_is_rejected(spark):
+    flagged = quality.with_violations(
+        standardize.orders(raw(spark, "naver_commerce_api", "not json", "")), quality.order_rules()
+    )
+    assert quality.rejected(flagged).count() == 2
+
+
+def test_other_sources_are_skipped(spark):
+    assert standardize.orders(raw(spark, "somewhere", "{}")).count() == 0
+
+
+def test_events(spark):
+    payload = (
+        '{"session_id":"S","events":['
+        '{"event_id":"1","session_id":"S","user_pseudo_id":"","event_name":"view_item",'
+        '"traffic_source":{"source":"","medium":null},"device":{"category":"tv"},"event_timestamp":"2026-08-17T15:30:00Z"},'
+        '{"event_id":"2","session_id":"S","event_name":"purchase","traffic_source":"ad",'
+        '"device":null,"event_timestamp":"2026-08-17T15:30:00"},'
+        '{"event_id":"3","session_id":"S","user_pseudo_id":"U","event_name":"purchase",'
+        '"traffic_source":{"source":"google","medium":"cpc"},"device":{"category":"app"},"event_timestamp":"2026-08-17T15:30:00"}]}'
+    )
+    got = standardize.behavior_logs(raw(spark, "ga4_export", payload, '{"session_id":"T"}', '{"session_id":"T","events":[]}'))
+    assert rows(got, "log_id", "user_id", "utm_source", "utm_medium", "device_type", "event_date") == [
+        ("1", "", "(direct)", "(none)", "mobile", date(2026, 8, 18)),
+        ("2", None, "(direct)", "(none)", "mobile", date(2026, 8, 17)),
+        ("3", "U", "google", "cpc", "app", date(2026, 8, 17)),
+    ]
+
+
+def test_column_maps(spark):
+    frame = spark.sql("SELECT named_struct('AmazonOrderId', '1', 'OrderTotal', named_struct('Amount', 5)) AS p")
+    picked = {k: v for k, v in fields.AMAZON_COLUMNS.items() if k in ("AmazonOrderId", "OrderTotal.Amount")}
+    assert frame.select(*fields.mapped("p", picked)).first().asDict() == {"order_id": "1", "payment_amount": 5}

@@ -13,7 +13,7 @@ KST_OFFSET_SECONDS = 9 * 3600
 _DATE = r"^\d{4}-\d{2}-\d{2}"
 _TIME = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
 ZONED = f"{_DATE}{_TIME}" + r"(Z|[+-]\d{2}(:?\d{2})?)$"
-# Without an offset, or anything that starts with a full second: the first 19 characters count.
+# Without an offset, or with anything unreadable after a full second: the first 19 characters count.
 WALL_CLOCK = f"{_DATE}({_TIME})?$|{_DATE}" + r"T\d{2}:\d{2}:\d{2}"
 
 
@@ -27,7 +27,7 @@ def kst_timestamp(raw: Column) -> Column:
     instant = F.unix_seconds(text.try_cast("timestamp")) + KST_OFFSET_SECONDS
     moved = F.timestamp_add("SECOND", instant, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     wall = F.substring(text, 1, 19).try_cast("timestamp_ntz")
-    return F.when(text.rlike(ZONED), moved).when(text.rlike(WALL_CLOCK), wall)
+    return F.coalesce(F.when(text.rlike(ZONED), moved), F.when(text.rlike(WALL_CLOCK), wall))
 
 
 def whole_second(at: Column) -> Column:

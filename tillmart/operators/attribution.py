@@ -11,7 +11,7 @@ from tillmart.operators.keyed import one_per_key
 from tillmart.schemas import DEFAULT_PLATFORM, DIRECT
 
 # Users without a login are spread over this many join keys that match nothing.
-GUEST_SLOTS = 1024
+GUEST_KEYS = 1024
 
 
 def with_status(orders: DataFrame, status: str | None) -> DataFrame:
@@ -60,20 +60,17 @@ def last_touch(logs: DataFrame) -> DataFrame:
 def add_platform(rows: DataFrame, platforms: DataFrame) -> DataFrame:
     """Left join on user_id; rows without a match get the default platform.
 
-    Rows without a user would all hash to one task. Each takes one of many slots instead,
-    and no slot but 0 exists on the other side.
+    Rows without a user would all hash to one task. They take one of many made-up keys
+    instead, and the second condition keeps those from ever matching a user.
     """
-    slot = F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64("session_id"), F.lit(GUEST_SLOTS)) + 1)
-    left = rows.withColumn("_user", F.coalesce("user_id", F.lit(""))).withColumn(
-        "_slot", F.coalesce(slot, F.lit(0))
-    )
-    right = platforms.select(
-        F.col("user_id").alias("_user"), F.lit(0).cast("bigint").alias("_slot"), "platform"
-    )
+    guest = F.concat(F.lit("guest-"), F.pmod(F.xxhash64("session_id"), F.lit(GUEST_KEYS)))
+    left = rows.withColumn("_user", F.coalesce("user_id", guest))
+    right = platforms.select(F.col("user_id").alias("_known"), "platform")
+    same_user = (F.col("_user") == F.col("_known")) & F.col("user_id").isNotNull()
     return (
-        left.join(right, ["_user", "_slot"], "left")
+        left.join(right, same_user, "left")
         .withColumn("platform", F.coalesce("platform", F.lit(DEFAULT_PLATFORM)))
-        .drop("_user", "_slot")
+        .drop("_user", "_known")
     )
 
 

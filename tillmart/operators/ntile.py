@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tillmart.sources.shared import stored
+from tillmart.schemas import MONEY
+from tillmart.sources.shared import scratch
 
 # monotonically_increasing_id() keeps the partition number above 33 bits of row number.
 _ROW_BITS = 33
@@ -22,12 +23,16 @@ def tile_starts(rows: int, tiles: int) -> list[int]:
 
 
 def add_ntiles(
-    rows: DataFrame, measures: Mapping[str, str], tie: str, tiles: int = 5
+    rows: DataFrame,
+    measures: Mapping[str, str],
+    tie: str,
+    tiles: int = 5,
+    value_type: str = MONEY,
 ) -> DataFrame:
     """Add one ``ntile(tiles)`` column per measure (output name to measure column, ascending).
 
-    ``tie`` is a unique column that orders equal measures. ``rows`` is read several times and
-    should be a stored table.
+    ``tie`` is a unique column that orders equal measures, ``value_type`` a type that holds
+    every measure exactly. ``rows`` is read several times and should be a stored table.
 
     All measures are sorted together: a range-partitioned sort of (measure, value, tie)
     triples is written out once, and the size of each sorted partition tells which row
@@ -35,16 +40,30 @@ def add_ntiles(
     row its tiles is then a comparison with literals, without a shuffle or a join. Equal
     values are split between partitions by ``tie``, so a very common value is no hot spot.
     """
-    names = list(measures)
-    value_type = "decimal(38,6)"
-    values = F.array(*[F.col(measures[n]).cast(value_type) for n in names])
-    ranked = stored(
+    columns = list(measures.values())
+    values = F.array(*[F.col(c).cast(value_type) for c in columns])
+    ordered = (
         rows.select(F.col(tie).alias("tie"), F.posexplode(values).alias("measure", "value"))
         .orderBy("measure", "value", "tie")
-        .withColumn("position", F.monotonically_increasing_id()),
-        "ranks",
+        .withColumn("position", F.monotonically_increasing_id())
     )
+    with scratch(ordered, "ranks") as ranked:
+        cuts = _cut_rows(ranked, len(columns), tiles)
 
+    def tile(m: int) -> Column:
+        value = F.col(columns[m]).cast(value_type)
+        at_or_after = [
+            ((value > c["value"]) | ((value == c["value"]) & (F.col(tie) >= c["tie"]))).cast("int")
+            for c in cuts
+            if c["measure"] == m
+        ]
+        return sum(at_or_after, F.lit(1))
+
+    return rows.withColumns({name: tile(m) for m, name in enumerate(measures)})
+
+
+def _cut_rows(ranked: DataFrame, n_measures: int, tiles: int) -> list[Row]:
+    """The first row of tile 2, 3, ... of each measure."""
     # One line per sorted partition and measure: a few thousand at most.
     blocks = (
         ranked.groupBy(F.shiftright("position", _ROW_BITS).alias("part"), "measure")
@@ -52,27 +71,11 @@ def add_ntiles(
         .orderBy("measure", "part")
         .collect()
     )
-    cuts_at: dict[int, int] = {}
-    for m in range(len(names)):
+    positions = []
+    for m in range(n_measures):
         mine = [b for b in blocks if b["measure"] == m]
         ends = list(accumulate(b["n"] for b in mine))
         for start in tile_starts(ends[-1] if ends else 0, tiles):
             block, end = next((b, e) for b, e in zip(mine, ends) if start <= e)
-            cuts_at[block["first"] + start - (end - block["n"]) - 1] = m
-    cuts = (
-        ranked.where(F.col("position").isin(list(cuts_at))).select("position", "value", "tie").collect()
-        if cuts_at
-        else []
-    )
-
-    def tile(m: int, value: Column) -> Column:
-        at_or_after = [
-            ((value > c["value"]) | ((value == c["value"]) & (F.col(tie) >= c["tie"]))).cast("int")
-            for c in cuts
-            if cuts_at[c["position"]] == m
-        ]
-        return sum(at_or_after, F.lit(1))
-
-    return rows.withColumns(
-        {n: tile(m, F.col(measures[n]).cast(value_type)) for m, n in enumerate(names)}
-    )
+            positions.append(block["first"] + start - (end - block["n"]) - 1)
+    return ranked.where(F.col("position").isin(positions)).collect() if positions else []

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.operators import keyed, quality, standardize
 from tillmart.sources.day_table import DayTable
-from tillmart.sources.shared import stored
+from tillmart.sources.shared import scratch
 
 
 @dataclass(frozen=True)
@@ -47,32 +47,32 @@ def upsert_orders(
     Versions are compared over all history, so loading an old batch again cannot undo a
     newer status. Only the days that hold, or will hold, one of these orders are rewritten.
     """
-    flagged = stored(
-        quality.with_violations(keyed.latest_orders(versions), quality.order_rules()), "orders"
-    )
-    batch, n_bad = _accept(flagged, quarantine, on_reject)
-    batch = batch.withColumn("loaded_at", F.current_timestamp())
-
-    homes = table.read().select("order_id", "paid_date").join(
-        batch.select("order_id"), "order_id", "left_semi"
-    )
-    # Calendar days, not rows.
-    days = [
-        r["paid_date"]
-        for r in homes.select("paid_date").union(batch.select("paid_date")).distinct().collect()
-    ]
-    if not days:
-        return LoadStats(0, 0, n_bad)
-
-    seen = Observation()
-    merged = keyed.latest_orders(
-        table.read(days)
-        .withColumn("_new", F.lit(0))
-        .unionByName(batch.withColumn("_new", F.lit(1)))
-    ).observe(seen, F.sum("_new").alias("changed"))
-    submitted = batch.count()
-    table.replace_days(merged, days)
-    return LoadStats(submitted, int(seen.get["changed"] or 0), n_bad)
+    newest = quality.with_violations(keyed.latest_orders(versions), quality.order_rules())
+    with scratch(newest, "orders") as flagged:
+        batch, n_bad = _accept(flagged, quarantine, on_reject)
+        known = (
+            table.read()
+            .join(batch.select("order_id"), "order_id", "left_semi")
+            .select(
+                "order_id",
+                F.col("paid_date").alias("old_date"),
+                F.struct(*keyed.ORDER_VERSION).alias("old_version"),
+            )
+        )
+        is_newer = F.coalesce(F.struct(*keyed.ORDER_VERSION) > F.col("old_version"), F.lit(True))
+        # One line per pair of calendar days.
+        moves = (
+            batch.join(known, "order_id", "left")
+            .groupBy("paid_date", "old_date")
+            .agg(F.count("*").alias("n"), F.count_if(is_newer).alias("newer"))
+            .collect()
+        )
+        days = {d for m in moves for d in (m["paid_date"], m["old_date"]) if d is not None}
+        if days:
+            old = table.read(days)
+            new = batch.withColumn("loaded_at", F.current_timestamp())
+            table.replace_days(keyed.latest_orders(old.unionByName(new)), days)
+        return LoadStats(sum(m["n"] for m in moves), sum(m["newer"] for m in moves), n_bad)
 
 
 def insert_logs(
@@ -82,13 +82,12 @@ def insert_logs(
     on_reject: str = "quarantine",
 ) -> LoadStats:
     """Add logs whose log_id staging does not have yet; existing rows are never touched."""
-    flagged = stored(quality.with_violations(keyed.first_logs(logs), quality.log_rules()), "logs")
-    batch, n_bad = _accept(flagged, quarantine, on_reject)
-    fresh = stored(keyed.unseen(batch, table.read(), "log_id"), "new-logs")
-    inserted = fresh.count()
-    if inserted:
-        table.add(fresh.withColumn("loaded_at", F.current_timestamp()))
-    return LoadStats(batch.count(), inserted, n_bad)
+    newest = quality.with_violations(keyed.first_logs(logs), quality.log_rules())
+    with scratch(newest, "logs") as flagged:
+        batch, n_bad = _accept(flagged, quarantine, on_reject)
+        fresh = keyed.unseen(batch, table.read(), "log_id")
+        inserted = table.add(fresh.withColumn("loaded_at", F.current_timestamp()))
+        return LoadStats(batch.count(), inserted, n_bad)
 
 
 def load_orders(table: DayTable, raw: DataFrame, **kwargs: str | None) -> LoadStats:

@@ -55,16 +55,14 @@ class Warehouse:
 
     def land(self, orders: DataFrame | None, logs: DataFrame | None) -> tuple[int, int]:
         """Append raw rows (see ``raw_zone.raw_rows``) and their JSON files; returns the counts."""
-        n_orders = n_logs = 0
-        if orders is not None:
-            n_orders = raw_zone.land(
-                orders, self.raw_orders_path, f"{self.root}/json/ecommerce_orders"
-            )
-        if logs is not None:
-            n_logs = raw_zone.land(
-                logs, self.raw_logs_path, f"{self.root}/json/user_behavior_logs"
-            )
-        return n_orders, n_logs
+        feeds = (
+            (orders, self.raw_orders_path, f"{self.root}/json/ecommerce_orders"),
+            (logs, self.raw_logs_path, f"{self.root}/json/user_behavior_logs"),
+        )
+        for rows, table, files in feeds:
+            if rows is not None:
+                raw_zone.land(rows, table, files)
+        return tuple(0 if rows is None else rows.count() for rows, _, _ in feeds)
 
     def _raw(self, path: str, batch_dates: Sequence[date] | None = None) -> DataFrame | None:
         try:

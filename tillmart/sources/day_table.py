@@ -76,8 +76,11 @@ class DayTable:
 
     # -- writing -------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame) -> tuple[str, set[date]]:
-        """Write a new folder. Small days share a task and large days are split over many."""
+    def _write(self, rows: DataFrame) -> tuple[str, dict[date, int]]:
+        """Write a new folder; returns it with the rows per day.
+
+        Small days share a task and large days are split over many.
+        """
         folder = uuid.uuid4().hex
         path = f"{self.root}/data/folder={folder}"
         (
@@ -86,8 +89,8 @@ class DayTable:
             .write.partitionBy(self.day)
             .parquet(path)
         )
-        found = self.spark.read.schema(self.schema).parquet(path).select(self.day).distinct()
-        return folder, {r[0] for r in found.collect()}
+        written = self.spark.read.schema(self.schema).parquet(path)
+        return folder, dict(written.groupBy(self.day).count().collect())
 
     def _publish(self, entries: list[tuple[date, str, str | None]]) -> None:
         if not entries:
@@ -105,8 +108,8 @@ class DayTable:
         """``rows`` become the whole content of ``days``; a day without rows is emptied."""
         wanted = set(days)
         folder, present = self._write(rows)
-        if present - wanted:
-            raise ValueError(f"rows outside the days to replace: {sorted(present - wanted)}")
+        if set(present) - wanted:
+            raise ValueError(f"rows outside the days to replace: {sorted(set(present) - wanted)}")
         self._publish(
             [(d, "replace", folder if d in present else None) for d in sorted(wanted)]
         )
@@ -115,12 +118,14 @@ class DayTable:
         old = self.days()
         folder, present = self._write(rows)
         self._publish(
-            [(d, "replace", folder if d in present else None) for d in sorted(present | set(old))]
+            [(d, "replace", folder if d in present else None) for d in sorted({*present, *old})]
         )
 
-    def add(self, rows: DataFrame) -> None:
+    def add(self, rows: DataFrame) -> int:
+        """Add rows to their days and return how many."""
         folder, present = self._write(rows)
         self._publish([(d, "add", folder) for d in sorted(present)])
+        return sum(present.values())
 
     def drop_day(self, day: date) -> int:
         """Remove one day and return how many rows it had."""

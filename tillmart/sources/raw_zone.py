@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.schemas import RAW_ROWS
@@ -37,14 +37,13 @@ def raw_rows(
     )
 
 
-def land(rows: DataFrame, table: str, json_folder: str | None = None) -> int:
+def land(rows: DataFrame, table: str, json_folder: str | None = None) -> None:
     """Append raw rows to ``table`` and, if asked, their payloads as JSON lines.
 
-    Both appends hold the same payloads. Returns the number of rows landed.
+    Both appends hold the same payloads, so a rerun of a day leaves them in step.
     """
-    seen = Observation()
     (
-        rows.observe(seen, F.count("*").alias("landed"))
+        rows.hint("rebalance", *RAW_PARTITIONS)
         .write.mode("append")
         .partitionBy(*RAW_PARTITIONS)
         .parquet(table)
@@ -52,11 +51,11 @@ def land(rows: DataFrame, table: str, json_folder: str | None = None) -> int:
     if json_folder is not None:
         (
             rows.select("payload_json", *RAW_PARTITIONS)
+            .hint("rebalance", *RAW_PARTITIONS)
             .write.mode("append")
             .partitionBy(*RAW_PARTITIONS)
             .text(json_folder)
         )
-    return int(seen.get["landed"])
 
 
 def scan(spark: SparkSession, table: str, batch_dates: Iterable[date] | None = None) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
     The files outlive a lost executor, and readers pick only the columns they need.
     """
-    path = new_folder(frame.sparkSession, name)
+    return _write(frame, new_folder(frame.sparkSession, name))
+
+
+def _write(frame: DataFrame, path: str) -> DataFrame:
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def scratch(frame: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stored`` for rows nobody needs after the block; the files are emptied then."""
+    spark = frame.sparkSession
+    path = new_folder(spark, name)
+    try:
+        yield _write(frame, path)
+    finally:
+        spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(path)
