@@ -77,16 +77,21 @@ def test_replace_all(spark, table):
 # -- raw zone ----------------------------------------------------------------------------
 
 
-def payloads(spark, *items):
-    return spark.createDataFrame([(json.dumps(i),) for i in items], "p string")
+def fetched(feed, batch):
+    return raw_zone.raw_rows(
+        feed,
+        F.lit("naver_commerce_api"),
+        raw_zone.payload_text(feed),
+        F.lit(batch),
+        F.lit("2026-08-11 02:00:00"),
+    )
 
 
 def test_landing_appends_rows_and_files(spark, tmp_path):
     feed = spark.createDataFrame([("1", "가"), ("2", None)], "orderNo string, buyerId string")
     table, files = str(tmp_path / "raw"), str(tmp_path / "json")
     for _ in range(2):
-        made = raw_zone.raw_rows(feed, "naver_commerce_api", F.lit(DAY), F.lit("2026-08-11 02:00:00"))
-        raw_zone.land(made, table, files)
+        raw_zone.land(fetched(feed, DAY), table, files)
     back = raw_zone.scan(spark, table, [DAY])
     assert back.count() == 4 and back.select("raw_id").distinct().count() == 4
     texts = sorted(r[0] for r in back.select("payload_json").distinct().collect())
@@ -98,10 +103,7 @@ def test_landing_appends_rows_and_files(spark, tmp_path):
 def test_batch_scan_reads_only_its_folders(spark, tmp_path):
     feed = spark.createDataFrame([("1",)], "orderNo string")
     for n in range(3):
-        raw_zone.land(
-            raw_zone.raw_rows(feed, "naver_commerce_api", F.lit(day(n)), F.lit("2026-08-11 02:00:00")),
-            str(tmp_path / "raw"),
-        )
+        raw_zone.land(fetched(feed, day(n)), str(tmp_path / "raw"))
     plan = raw_zone.scan(spark, str(tmp_path / "raw"), [day(1)])._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(batch_date" in plan
 

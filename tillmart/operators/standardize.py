@@ -114,9 +114,15 @@ def orders(raw: DataFrame) -> DataFrame:
 
 
 def session_events(raw: DataFrame) -> DataFrame:
-    """One row per element of ``events``; a payload without the array gives none."""
-    return _with_payload(raw, BEHAVIOR_SESSION).select(
-        *_LINEAGE, F.posexplode("p.events").alias("event_pos", "event")
+    """One row per element of ``events``; a payload without the array gives none.
+
+    An inner explode would make the optimizer test the array for size below it, and so parse
+    every payload once more.
+    """
+    return (
+        _with_payload(raw, BEHAVIOR_SESSION)
+        .select(*_LINEAGE, F.posexplode_outer("p.events").alias("event_pos", "event"))
+        .where(F.col("event_pos").isNotNull())
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,28 +15,34 @@ RAW_PARTITIONS = ("batch_date", "source_api")
 
 def raw_rows(
     payloads: DataFrame,
-    source_api: str,
+    source_api: Column,
+    payload_json: Column,
     batch_date: Column,
     fetched_at: Column,
     raw_id: Column | None = None,
     ingest_seq: Column | None = None,
-    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One raw row per payload row; its columns (or those named) form the JSON text.
+    """One raw row per payload row.
 
-    ``ingest_seq`` keeps the order of arrival inside a fetch. Null fields are left out of
-    the text, as in a source that does not send them.
+    ``payload_json`` is the text as received; for structured input use ``payload_text``.
+    ``ingest_seq`` keeps the order of arrival inside a fetch. Random ids are drawn once per
+    call, so every fetch needs a call of its own.
     """
     return payloads.select(
         (F.uuid() if raw_id is None else raw_id).alias("raw_id"),
-        F.lit(source_api).alias("source_api"),
+        source_api.alias("source_api"),
         batch_date.alias("batch_date"),
-        F.to_json(F.struct(*(columns or payloads.columns))).alias("payload_json"),
+        payload_json.alias("payload_json"),
         fetched_at.cast("timestamp_ntz").alias("fetched_at"),
         (F.monotonically_increasing_id() if ingest_seq is None else ingest_seq).alias("ingest_seq"),
     )
 
 
+def payload_text(payloads: DataFrame) -> Column:
+    """All columns as one JSON text. Null fields are left out, as if the source did not send them."""
+    return F.to_json(F.struct(*payloads.columns))
+
+
 def land(rows: DataFrame, table: str, json_folder: str | None = None) -> None:
     """Append raw rows to ``table`` and, if asked, their payloads as JSON lines.
 

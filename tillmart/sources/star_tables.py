@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,99 +83,97 @@ def _platform(priority: Column) -> Column:
     return F.when(priority.isin(*AMAZON_PRIORITIES), "AMAZON").otherwise("NAVER")
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging-shaped orders without the columns that need the order lines."""
-    source = spark.read.parquet(f"{sf_dir}/orders.parquet")
+def _order_columns() -> dict[str, Column]:
     day = _paid_date(F.to_date("o_orderdate"))
     platform = _platform(F.col("o_orderpriority"))
-    return source.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_totalprice").cast(MONEY).alias("payment_amount"),
-        F.when(platform == "AMAZON", "USD").otherwise("KRW").alias("currency_code"),
-        platform.alias("platform"),
-        day.cast("timestamp_ntz").alias("paid_at"),
-        _choose(STATUS_OF, F.col("o_orderstatus")).alias("order_status"),
-        day.alias("paid_date"),
-    )
+    return {
+        "order_id": F.col("o_orderkey").cast("string"),
+        "user_id": F.col("o_custkey").cast("string"),
+        "payment_amount": F.col("o_totalprice").cast(MONEY),
+        "currency_code": F.when(platform == "AMAZON", "USD").otherwise("KRW"),
+        "platform": platform,
+        "paid_at": day.cast("timestamp_ntz"),
+        "order_status": _choose(STATUS_OF, F.col("o_orderstatus")),
+        "paid_date": day,
+    }
+
+
+def _select(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return rows.select(*[c.alias(name) for name, c in columns.items()])
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging-shaped orders without the columns that need the order lines."""
+    return _select(spark.read.parquet(f"{sf_dir}/orders.parquet"), _order_columns())
 
 
 def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with product and discount; both are null for an order without lines."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    discount = F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)")
-    per_order = lines.groupBy(F.col("l_orderkey").cast("string").alias("order_id")).agg(
-        F.min("l_partkey").cast("string").alias("product_id"),
-        F.sum(discount).cast(MONEY).alias("discount_amount"),
+    # Two two-digit numbers multiplied: summed as whole ten-thousandths, which is exact.
+    discount = F.rint(F.col("l_extendedprice") * 100).cast("bigint") * F.rint(
+        F.col("l_discount") * 100
+    ).cast("bigint")
+    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_partkey").alias("part"),
+        (F.sum(discount).cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast(MONEY).alias("discount"),
+    )
+    joined = spark.read.parquet(f"{sf_dir}/orders.parquet").join(per_order, "o_orderkey", "left")
+    return _select(
+        joined,
+        {
+            **_order_columns(),
+            "product_id": F.col("part").cast("string"),
+            "discount_amount": F.col("discount"),
+        },
     )
-    return orders(spark, sf_dir).join(per_order, "order_id", "left")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order payloads: each order once as new, and again three days later if its status moved."""
-    rows = orders_with_items(spark, sf_dir)
-    moved = rows.where(F.col("order_status") != "PAID")
-    first = rows.withColumns({"status": F.lit(None).cast("string"), "batch": F.col("paid_date"), "version": F.lit(0)})
-    second = moved.withColumns(
-        {
-            "status": F.col("order_status"),
-            "batch": F.date_add("paid_date", RECHECK_AFTER_DAYS),
-            "version": F.lit(1),
-        }
+    new = F.struct(
+        F.lit(0).alias("no"), F.col("paid_date").alias("batch"), F.lit(None).cast("string").alias("status")
     )
-    both = first.unionByName(second)
-    naver = both.where(F.col("platform") == "NAVER")
-    amazon = both.where(F.col("platform") == "AMAZON")
-    iso = F.replace(F.col("paid_at").cast("string"), F.lit(" "), F.lit("T"))
-    utc = F.timestamp_add("HOUR", F.lit(-9), F.col("paid_at")).cast("string")
-
-    def rows_of(frame: DataFrame, source: str, payload: list[Column]) -> DataFrame:
-        body = frame.select(*payload, F.struct("order_id", "batch", "version").alias("_meta"))
-        meta = body["_meta"]
-        return raw_rows(
-            body,
-            source,
-            batch_date=meta["batch"],
-            fetched_at=F.date_add(meta["batch"], 1),
-            raw_id=F.concat(F.lit("o-"), meta["order_id"], F.lit("-"), meta["version"].cast("string")),
-            ingest_seq=meta["order_id"].cast("bigint"),
-            columns=body.columns[:-1],
-        )
-
-    return rows_of(
-        naver,
-        "naver_commerce_api",
-        [
-            F.col("order_id").alias("orderNo"),
-            F.when(F.col("user_id").cast("bigint") % 50 == 0, "").otherwise(F.col("user_id")).alias("buyerId"),
-            F.col("product_id").alias("productNo"),
-            F.col("payment_amount").alias("totalPayment"),
-            F.col("discount_amount").alias("discountAmt"),
-            F.lit("KRW").alias("currency"),
-            iso.alias("paidDatetime"),
-            F.col("status").alias("orderStatus"),
-        ],
-    ).unionByName(
-        rows_of(
-            amazon,
-            "amazon_sp_api",
-            [
-                F.col("order_id").alias("AmazonOrderId"),
-                F.col("user_id").alias("BuyerEmail"),
-                F.col("product_id").alias("ASIN"),
-                F.struct(
-                    F.col("payment_amount").alias("Amount"), F.lit("USD").alias("CurrencyCode")
-                ).alias("OrderTotal"),
-                F.when(
-                    F.col("discount_amount").isNotNull(),
-                    F.struct(
-                        F.col("discount_amount").alias("Amount"), F.lit("USD").alias("CurrencyCode")
-                    ),
-                ).alias("PromotionDiscount"),
-                F.concat(F.replace(utc, F.lit(" "), F.lit("T")), F.lit("Z")).alias("PurchaseDate"),
-                F.col("status").alias("OrderStatus"),
-            ],
-        )
+    moved = F.struct(
+        F.lit(1).alias("no"),
+        F.date_add("paid_date", RECHECK_AFTER_DAYS).alias("batch"),
+        F.col("order_status").alias("status"),
+    )
+    versions = F.when(F.col("order_status") == "PAID", F.array(new)).otherwise(F.array(new, moved))
+    sent = orders_with_items(spark, sf_dir).withColumn("sent", F.explode(versions))
+
+    def iso(at: Column) -> Column:
+        return F.replace(at.cast("string"), F.lit(" "), F.lit("T"))
+
+    naver = [
+        F.col("order_id").alias("orderNo"),
+        F.when(F.col("user_id").cast("bigint") % 50 == 0, "").otherwise(F.col("user_id")).alias("buyerId"),
+        F.col("product_id").alias("productNo"),
+        F.col("payment_amount").alias("totalPayment"),
+        F.col("discount_amount").alias("discountAmt"),
+        F.lit("KRW").alias("currency"),
+        iso(F.col("paid_at")).alias("paidDatetime"),
+        F.col("sent.status").alias("orderStatus"),
+    ]
+    promotion = F.struct(F.col("discount_amount").alias("Amount"), F.lit("USD").alias("CurrencyCode"))
+    amazon = [
+        F.col("order_id").alias("AmazonOrderId"),
+        F.col("user_id").alias("BuyerEmail"),
+        F.col("product_id").alias("ASIN"),
+        F.struct(F.col("payment_amount").alias("Amount"), F.lit("USD").alias("CurrencyCode")).alias("OrderTotal"),
+        F.when(F.col("discount_amount").isNotNull(), promotion).alias("PromotionDiscount"),
+        F.concat(iso(F.timestamp_add("HOUR", F.lit(-9), F.col("paid_at"))), F.lit("Z")).alias("PurchaseDate"),
+        F.col("sent.status").alias("OrderStatus"),
+    ]
+    is_naver = F.col("platform") == "NAVER"
+    return raw_rows(
+        sent,
+        F.when(is_naver, "naver_commerce_api").otherwise("amazon_sp_api"),
+        F.when(is_naver, F.to_json(F.struct(*naver))).otherwise(F.to_json(F.struct(*amazon))),
+        batch_date=F.col("sent.batch"),
+        fetched_at=F.date_add("sent.batch", 1),
+        raw_id=F.concat_ws("-", F.lit("o"), F.col("order_id"), F.col("sent.no").cast("string")),
+        ingest_seq=F.col("order_id").cast("bigint"),
     )
 
 
@@ -223,10 +223,10 @@ def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packs.unionByName(idle)
     return raw_rows(
         rows,
-        "ga4_export",
+        F.lit("ga4_export"),
+        F.to_json(F.struct("session_id", "events")),
         batch_date=F.col("day"),
         fetched_at=F.date_add("day", 1),
         raw_id=F.col("session_id"),
         ingest_seq=F.col("seq"),
-        columns=["session_id", "events"],
     )
