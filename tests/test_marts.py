@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from samples import logs_frame, orders_frame
 from tillmart.operators import attribution, funnel, rfm
+from tillmart.operators.lookup import NULL_KEYS
 
 D = Decimal
 
@@ -102,8 +103,9 @@ def test_one_visitor_per_session_even_with_two_users_on_a_platform(spark):
 def test_a_guest_never_matches_a_user_with_a_made_up_name(spark):
     logs = logs_frame(spark, [("1", "S", None, "view_item", None, None, "app", "2026-08-18 09:00:00")])
     names = [
-        (str(n), f"guest-{n}", "P", "1", "0", "1", "USD", "AMAZON", "2026-08-01 10:00:00")
-        for n in range(attribution.GUEST_KEYS)
+        (str(n), f"{letter}{n}", "P", "1", "0", "1", "USD", "AMAZON", "2026-08-01 10:00:00")
+        for n in range(NULL_KEYS)
+        for letter in ("n", "k", "")
     ]
     placed = attribution.add_platform(logs, attribution.main_platform(orders_frame(spark, names)))
     assert rows(placed, "platform") == [("NAVER",)]

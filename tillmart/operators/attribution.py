@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.operators.keyed import one_per_key
+from tillmart.operators.lookup import lookup
 from tillmart.schemas import DEFAULT_PLATFORM, DIRECT
 
-# Users without a login are spread over this many join keys that match nothing.
-GUEST_KEYS = 1024
-
 
 def with_status(orders: DataFrame, status: str | None) -> DataFrame:
     return orders if status is None else orders.where(F.col("order_status") == status)
@@ -58,24 +56,15 @@ def last_touch(logs: DataFrame) -> DataFrame:
 
 
 def add_platform(rows: DataFrame, platforms: DataFrame) -> DataFrame:
-    """Left join on user_id; rows without a match get the default platform.
-
-    Rows without a user would all hash to one task. They take one of many made-up keys
-    instead, and the second condition keeps those from ever matching a user.
-    """
-    guest = F.concat(F.lit("guest-"), F.pmod(F.xxhash64("session_id"), F.lit(GUEST_KEYS)))
-    left = rows.withColumn("_user", F.coalesce("user_id", guest))
-    right = platforms.select(F.col("user_id").alias("_known"), "platform")
-    same_user = (F.col("_user") == F.col("_known")) & F.col("user_id").isNotNull()
-    return (
-        left.join(right, same_user, "left")
-        .withColumn("platform", F.coalesce("platform", F.lit(DEFAULT_PLATFORM)))
-        .drop("_user", "_known")
+    """Platform of the user; the default one for guests and users without orders."""
+    return lookup(rows, platforms, "user_id", spread_by="session_id").withColumn(
+        "platform", F.coalesce("platform", F.lit(DEFAULT_PLATFORM))
     )
 
 
 def add_first_touch(rows: DataFrame, touches: DataFrame) -> DataFrame:
-    return rows.join(touches, "session_id", "left").withColumn(
+    """Source of the session's first event."""
+    return lookup(rows, touches, "session_id", spread_by="base_date").withColumn(
         "utm_source", F.coalesce("utm_source", F.lit(DIRECT))
     )
 

@@ -51,13 +51,14 @@ def add_ntiles(
         cuts = _cut_rows(ranked, len(columns), tiles)
 
     def tile(m: int) -> Column:
-        value = F.col(columns[m]).cast(value_type)
-        at_or_after = [
-            ((value > c["value"]) | ((value == c["value"]) & (F.col(tie) >= c["tie"]))).cast("int")
-            for c in cuts
-            if c["measure"] == m
-        ]
-        return sum(at_or_after, F.lit(1))
+        value, value_of = F.col(columns[m]), rows.schema[columns[m]].dataType
+        number = F.lit(1)
+        # The last cut is asked first: most rows are settled after one or two comparisons.
+        for no, cut in enumerate((c for c in cuts if c["measure"] == m), start=2):
+            at = F.lit(cut["value"]).cast(value_of)
+            past = (value > at) | ((value == at) & (F.col(tie) >= cut["tie"]))
+            number = F.when(past, no).otherwise(number)
+        return number
 
     return rows.withColumns({name: tile(m) for m, name in enumerate(measures)})
 
@@ -78,4 +79,6 @@ def _cut_rows(ranked: DataFrame, n_measures: int, tiles: int) -> list[Row]:
         for start in tile_starts(ends[-1] if ends else 0, tiles):
             block, end = next((b, e) for b, e in zip(mine, ends) if start <= e)
             positions.append(block["first"] + start - (end - block["n"]) - 1)
-    return ranked.where(F.col("position").isin(positions)).collect() if positions else []
+    if not positions:
+        return []
+    return ranked.where(F.col("position").isin(positions)).orderBy("position").collect()
