@@ -12,7 +12,7 @@ from tillmart.plans import marts, staging
 from tillmart.plans.warehouse import Warehouse
 from tillmart.schemas import FUNNEL_MART, STAGED_LOGS, STAGED_ORDERS
 from tillmart.sources import raw_zone, star_tables
-from tillmart.sources.day_table import DayTable
+from tillmart.sources.day_table import BrokenRules, DayTable
 from tillmart.streaming.behavior_ingest import ingest_stream
 
 DAY = date(2026, 8, 10)
@@ -290,6 +290,16 @@ def test_window_refresh_equals_full_rebuild_inside_and_keeps_the_rest(spark, tmp
     assert date(2024, 1, 20) not in mart.days()
 
 
+def test_a_payment_after_the_analysis_date_stops_the_rfm_mart(spark, tmp_path, sf_dir):
+    house = Warehouse(spark, str(tmp_path))
+    orders = star_tables.orders(spark, sf_dir)
+    marts.rebuild_rfm(house.rfm, orders, date(2024, 1, 31))
+    before = rows(house.rfm.read(), "user_id", "recency_days", "segment_name")
+    with pytest.raises(BrokenRules):
+        marts.rebuild_rfm(house.rfm, orders, date(2024, 1, 20))
+    assert rows(house.rfm.read(), "user_id", "recency_days", "segment_name") == before
+
+
 def test_whole_run(spark, tmp_path, sf_dir):
     """Landing to marts in one pass equals the marts of the standardised frames."""
     house = Warehouse(spark, str(tmp_path))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,6 +117,10 @@ def rfm_rules() -> Rules:
     }
 
 
+def breaks_any(rules: Rules) -> Column:
+    return reduce(Column.__or__, [F.coalesce(bad, F.lit(False)) for bad in rules.values()])
+
+
 def with_violations(rows: DataFrame, rules: Rules) -> DataFrame:
     """Add the names of the rules each row breaks. A rule that gives null is not broken."""
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -43,15 +43,14 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.raw_orders_path = f"{self.root}/raw/ecommerce_orders"
         self.raw_logs_path = f"{self.root}/raw/user_behavior_logs"
-        self.orders = DayTable(spark, f"{self.root}/stg/ecommerce_orders", STAGED_ORDERS, "paid_date")
-        self.logs = DayTable(spark, f"{self.root}/stg/user_behavior_logs", STAGED_LOGS, "event_date")
-        self.funnel = DayTable(spark, f"{self.root}/mart/user_funnel_daily", FUNNEL_MART, "base_date")
-        self.rfm = DayTable(
-            spark,
-            f"{self.root}/mart/user_rfm_scores",
-            f"{RFM_MART}, as_of date",
-            "as_of",
-        )
+
+        def table(name: str, schema: str, day: str, rules: Callable[[], quality.Rules]) -> DayTable:
+            return DayTable(spark, f"{self.root}/{name}", schema, day, rules)
+
+        self.orders = table("stg/ecommerce_orders", STAGED_ORDERS, "paid_date", quality.order_rules)
+        self.logs = table("stg/user_behavior_logs", STAGED_LOGS, "event_date", quality.log_rules)
+        self.funnel = table("mart/user_funnel_daily", FUNNEL_MART, "base_date", quality.funnel_rules)
+        self.rfm = table("mart/user_rfm_scores", f"{RFM_MART}, as_of date", "as_of", quality.rfm_rules)
 
     def land(self, orders: DataFrame | None, logs: DataFrame | None) -> tuple[int, int]:
         """Append raw rows (see ``raw_zone.raw_rows``) and their JSON files; returns the counts."""

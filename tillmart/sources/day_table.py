@@ -5,12 +5,14 @@ a day that became empty. So rows are always written to a new folder, and one sma
 then names the folders that are live for each day. That file is the commit: until it is there
 readers see the table as it was, and nothing that is being read is ever overwritten. One
 writer at a time is assumed, as with any daily job.
+
+The rules of the table are checked on the rows as written, before the commit.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -18,16 +20,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.operators.quality import Rules, breaks_any
+
 _LOG = "publish bigint, day date, action string, folder string"
 
 
+class BrokenRules(ValueError):
+    """Rows that were to be published break a rule of the table."""
+
+
 class DayTable:
-    def __init__(self, spark: SparkSession, root: str, schema: str, day: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: str,
+        day: str,
+        rules: Callable[[], Rules] | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.columns = T.StructType.fromDDL(schema).names
         self.day = day
+        self.rules = rules
 
     # -- reading -------------------------------------------------------------------------
 
@@ -77,7 +93,7 @@ class DayTable:
     # -- writing -------------------------------------------------------------------------
 
     def _write(self, rows: DataFrame) -> tuple[str, dict[date, int]]:
-        """Write a new folder; returns it with the rows per day.
+        """Write a new folder and check it; returns it with the rows per day.
 
         Small days share a task and large days are split over many.
         """
@@ -90,7 +106,11 @@ class DayTable:
             .parquet(path)
         )
         written = self.spark.read.schema(self.schema).parquet(path)
-        return folder, dict(written.groupBy(self.day).count().collect())
+        bad = F.count_if(breaks_any(self.rules())) if self.rules else F.lit(0)
+        per_day = written.groupBy(self.day).agg(F.count("*").alias("n"), bad.alias("bad")).collect()
+        if any(r["bad"] for r in per_day):
+            raise BrokenRules(f"{sum(r['bad'] for r in per_day)} rows break a rule of {self.root}")
+        return folder, {r[self.day]: r["n"] for r in per_day}
 
     def _publish(self, entries: list[tuple[date, str, str | None]]) -> None:
         if not entries:

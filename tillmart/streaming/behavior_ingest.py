@@ -27,9 +27,8 @@ def ingest_stream(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        insert_logs(
-            DayTable(batch.sparkSession, table.root, table.schema, table.day), batch, quarantine
-        )
+        target = DayTable(batch.sparkSession, table.root, table.schema, table.day, table.rules)
+        insert_logs(target, batch, quarantine)
 
     raw = (
         spark.readStream.schema(RAW_ROWS)
