@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tillmart.schemas import DEFAULT_DEVICE, DEVICE_TYPES, UNKNOWN_BUYER
 
-# Source field to staging column.
+# Source field to staging column. The loads compute amounts themselves (the amount
+# before exchange is the net total for the first source), so the order maps are for `mapped` only.
 NAVER_COLUMNS = {
     "orderNo": "order_id",
     "buyerId": "user_id",

@@ -261,7 +261,10 @@ def run_totals(plan: DataFrame, orders: DataFrame, logs: DataFrame) -> DataFrame
             F.lit("logs").alias("feed"), "batch_date", "submitted"
         )
     )
-    of = lambda feed: F.coalesce(F.sum(F.when(F.col("feed") == feed, F.col("submitted"))), F.lit(0))
+
+    def of(feed: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("feed") == feed, F.col("submitted"))), F.lit(0))
+
     return (
         plan.join(per_feed, ["feed", "batch_date"], "left")
         .groupBy("run_date")
