@@ -9,14 +9,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillmart.session import build_session  # noqa: E402
+from tillmart.sources.shared import use_folder  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]")
     session.sparkContext.setLogLevel("ERROR")
+    use_folder(session, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

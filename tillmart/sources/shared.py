@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,20 +9,23 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+#: Folders for sessions that were started without the setting, by application.
+_own: dict[str, str] = {}
 
-    A session without the setting gets a temporary folder only in local mode, where driver
-    and executors are one machine.
-    """
+
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session that was started without ``spark.checkpoint.dir``."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        _own.setdefault(spark.sparkContext.applicationId, folder.rstrip("/"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, else the one given to ``use_folder``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    folder = folder or _own.get(spark.sparkContext.applicationId)
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tillmart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
