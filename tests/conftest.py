@@ -18,6 +18,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     session = build_session("tests", "local[8]")
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.environment.setdefault("PYTHONPATH", sys.path[1])
     use_folder(session, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
