@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import line_rules, mixing, packing, token_counts, token_files
+from tillmart.llm import line_rules, mixing, packing, simhash, token_counts, token_files
 from tillmart.sources.shared import new_folder
 
 #: What ``word_bpe_49k.json`` has no id of its own for is marked by this id.
@@ -44,6 +44,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_packing, op3_line_rules, op7_token_counts, op8_token_files, op10_mixing)
+        for f in (op1_packing, op3_line_rules, op7_token_counts, op8_token_files, op9_simhash, op10_mixing)
     }
 
 
