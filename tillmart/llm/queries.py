@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import line_rules, mixing, packing, simhash, token_counts, token_files
+from tillmart.llm import (
+    line_rules,
+    mixing,
+    packing,
+    simhash,
+    token_counts,
+    token_files,
+    vector_links,
+    warc,
+)
 from tillmart.sources.shared import new_folder
 
 #: What ``word_bpe_49k.json`` has no id of its own for is marked by this id.
@@ -32,6 +41,14 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), new_folder(spark, "archives"))
+
+
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, _vocabulary("piece_bpe_32k.model"))
@@ -55,7 +72,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_packing, op3_line_rules, op7_token_counts, op8_token_files, op9_simhash, op10_mixing)
+        for f in (
+            op1_packing,
+            op3_line_rules,
+            op5_warc,
+            op6_vector_links,
+            op7_token_counts,
+            op8_token_files,
+            op9_simhash,
+            op10_mixing,
+        )
     }
 
 
