@@ -10,6 +10,7 @@ from tillmart.llm import (
     line_rules,
     mixing,
     packing,
+    repeats,
     simhash,
     token_counts,
     token_files,
@@ -37,6 +38,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, _vocabulary("word_bpe_49k.json"), END_ID)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.report(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_packing,
+            op2_repeats,
             op3_line_rules,
             op5_warc,
             op6_vector_links,
