@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words kept per Python worker, about 200 bytes each.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 700_000
 
 #: Letters of which none joins with another under normalisation.
 _LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"

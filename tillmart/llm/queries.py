@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.llm import (
+    language_id,
     line_rules,
     mixing,
     packing,
@@ -27,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -35,7 +36,7 @@ def _vocabulary(name: str) -> str:
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.packed(docs, _vocabulary("word_bpe_49k.json"), END_ID)
+    return packing.packed(docs, vocabulary("word_bpe_49k.json"), END_ID)
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,10 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), new_folder(spark, "archives"))
 
@@ -56,13 +61,13 @@ def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return token_counts.token_counts(docs, _vocabulary("piece_bpe_32k.model"))
+    return token_counts.token_counts(docs, vocabulary("piece_bpe_32k.model"))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
-    token_files.write(docs, path, _vocabulary("word_bpe_49k.json"), END_ID)
+    token_files.write(docs, path, vocabulary("word_bpe_49k.json"), END_ID)
     return token_files.digests(spark, path)
 
 
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_packing,
             op2_repeats,
             op3_line_rules,
+            op4_language_id,
             op5_warc,
             op6_vector_links,
             op7_token_counts,
