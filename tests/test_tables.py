@@ -247,24 +247,86 @@ def test_logs_in_one_pass(spark, staged_logs):
     assert rows(staged_logs.read(), "log_id", "event_name") == expected
 
 
-def test_unknown_event_names_are_rejected(spark, staged_logs):
-    stats = staging.load_logs(staged_logs, log_raw(spark, (0, 1, [("1", "error"), ("2", "purchase")])))
+def test_unknown_event_names_are_rejected(spark, staged_logs, tmp_path):
+    batch = log_raw(spark, (0, 1, [("1", "error"), ("2", "purchase")]))
+    with pytest.raises(staging.RejectedRows):
+        staging.load_logs(staged_logs, batch)
+    stats = staging.load_logs(staged_logs, batch, quarantine=str(tmp_path / "bin"))
     assert stats == staging.LoadStats(1, 1, 1)
 
 
+def test_every_rejected_order_is_put_aside_once(spark, staged, tmp_path):
+    good = order_raw(spark, (0, "A", None, 0, 1))
+    bad = good.select(
+        F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n"), *good.columns
+    ).select(
+        F.concat(F.lit("bad"), F.col("n").cast("string")).alias("raw_id"), "source_api", "batch_date",
+        F.lit("no json").alias("payload_json"), "fetched_at", "ingest_seq",
+    )
+    bin_ = str(tmp_path / "bin")
+    for _ in range(2):
+        stats = staging.load_orders(staged, good.unionByName(bad), quarantine=bin_)
+        assert stats.rejected == 3
+        assert rows(spark.read.parquet(bin_), "raw_id") == [("bad1",), ("bad2",), ("bad3",)]
+    assert state(staged) == [("A", "PAID", DAY)]
+
+
+def test_a_bad_newest_version_does_not_hide_a_good_one(spark, staged, tmp_path):
+    both = order_raw(spark, (0, "A", None, 0, 1), (1, "A", "LOST", 0, 1))
+    assert staging.load_orders(staged, both, quarantine=str(tmp_path / "b")).rejected == 1
+    other = DayTable(spark, str(tmp_path / "other"), STAGED_ORDERS, "paid_date")
+    for n in (0, 1):
+        part = both.where(F.col("batch_date") == F.lit(day(n)))
+        staging.load_orders(other, part, quarantine=str(tmp_path / "c"))
+    assert state(staged) == state(other) == [("A", "PAID", DAY)]
+
+
+def test_a_load_with_nothing_newer_publishes_nothing(spark, staged):
+    batch = order_raw(spark, (0, "A", None, 0, 1), (0, "B", None, 1, 2))
+    staging.load_orders(staged, batch)
+    published = staged._log().count()
+    assert staging.load_orders(staged, batch).changed == 0
+    assert staged._log().count() == published
+    staging.load_orders(staged, order_raw(spark, (1, "A", "SHIPPED", 0, 1)))
+    assert staged._log().count() == published + 1
+
+
+def test_unreadable_sessions_and_events_without_id_are_put_aside(spark, staged_logs, tmp_path):
+    raw = log_raw(spark, (0, 1, [("1", "view_item"), (None, "view_item"), (None, "purchase")]))
+    odd = ["no json", "[1]", '{"events": "none"}', '{"events": null}', '{"session_id": "S"}', '{"events": []}', None]
+    more = spark.createDataFrame(
+        [(f"odd{n}", text, n) for n, text in enumerate(odd)], "raw_id string, payload_json string, n int"
+    )
+    first = raw.first()
+    more = more.select(
+        "raw_id", F.lit(first.source_api).alias("source_api"), F.lit(first.batch_date).alias("batch_date"),
+        "payload_json", F.lit(first.fetched_at).cast("timestamp_ntz").alias("fetched_at"),
+        F.col("n").cast("bigint").alias("ingest_seq"),
+    )
+    bin_ = str(tmp_path / "bin")
+    stats = staging.load_logs(staged_logs, raw.unionByName(more), quarantine=bin_)
+    assert stats == staging.LoadStats(1, 1, 7)
+    unreadable = spark.read.parquet(bin_).where(F.array_contains("violations", "payload unreadable"))
+    assert rows(unreadable, "raw_id") == [("odd0",), ("odd1",), ("odd2",), ("odd3",), ("odd6",)]
+
+
 def test_stream_equals_batch(spark, staged_logs, tmp_path, sf_dir):
     raw_path = str(tmp_path / "raw")
     raw_zone.land(star_tables.raw_sessions(spark, sf_dir), raw_path)
     streamed = DayTable(spark, str(tmp_path / "streamed"), STAGED_LOGS, "event_date")
     for _ in range(2):
-        q = ingest_stream(spark, raw_path, streamed, str(tmp_path / "cp"), files_per_batch=40)
+        q = ingest_stream(
+            spark, raw_path, streamed, str(tmp_path / "cp"), str(tmp_path / "bad"), files_per_batch=40
+        )
         q.awaitTermination()
         assert q.exception() is None
     # A fetch that repeats old logs and brings a very late one.
     late = log_raw(spark, (0, 1, [("late", "view_item"), ("1", "view_item")]))
     raw_zone.land(late, raw_path)
-    ingest_stream(spark, raw_path, streamed, str(tmp_path / "cp")).awaitTermination()
-    staging.load_logs(staged_logs, raw_zone.scan(spark, raw_path))
+    ingest_stream(
+        spark, raw_path, streamed, str(tmp_path / "cp"), str(tmp_path / "bad")
+    ).awaitTermination()
+    staging.load_logs(staged_logs, raw_zone.scan(spark, raw_path), quarantine=str(tmp_path / "bad2"))
     keys = ("log_id", "event_name", "event_at", "session_id")
     assert rows(streamed.read(), *keys) == rows(staged_logs.read(), *keys)
     assert streamed.read().where("log_id = 'late'").count() == 1

@@ -113,23 +113,38 @@ def orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def session_events(raw: DataFrame) -> DataFrame:
-    """One row per element of ``events``; a payload without the array gives none.
+def _sessions(raw: DataFrame) -> DataFrame:
+    """One row per element of ``events``, and one for a payload that cannot be read.
 
-    An inner explode would make the optimizer test the array for size below it, and so parse
-    every payload once more.
+    A payload is unreadable if it is no JSON object, or if it has ``events`` that are no array;
+    without ``events`` it gives no row. The check looks at a payload again only where no events
+    were found. An inner explode would make the optimizer test the array for size below it, and
+    so parse every payload once more.
     """
+    found = F.try_parse_json("payload_json")
+    readable = F.schema_of_variant(found).startswith("OBJECT") & F.try_variant_get(
+        found, "$.events", "variant"
+    ).isNull()
+    parsed = raw.select(
+        *_LINEAGE, "payload_json", F.from_json("payload_json", BEHAVIOR_SESSION).alias("p")
+    )
+    unreadable = F.when(F.col("p.events").isNull(), ~F.coalesce(readable, F.lit(False)))
     return (
-        _with_payload(raw, BEHAVIOR_SESSION)
-        .select(*_LINEAGE, F.posexplode_outer("p.events").alias("event_pos", "event"))
-        .where(F.col("event_pos").isNotNull())
+        parsed.withColumn("unreadable", F.coalesce(unreadable, F.lit(False)))
+        .select(*_LINEAGE, "unreadable", F.posexplode_outer("p.events").alias("event_pos", "event"))
+        .where(F.col("event_pos").isNotNull() | F.col("unreadable"))
     )
 
 
+def session_events(raw: DataFrame) -> DataFrame:
+    """One row per element of ``events`` of the payloads that can be read."""
+    return _sessions(raw).where(~F.col("unreadable")).drop("unreadable")
+
+
 def behavior_logs(raw: DataFrame) -> DataFrame:
-    """Session payloads to log rows."""
-    named = session_events(raw).select(
-        *_LINEAGE, "event_pos", *fields.mapped("event", fields.EVENT_COLUMNS)
+    """Session payloads to log rows; ``unreadable`` marks the row of a payload that cannot be read."""
+    named = _sessions(raw).select(
+        *_LINEAGE, "event_pos", "unreadable", *fields.mapped("event", fields.EVENT_COLUMNS)
     )
     return named.withColumn("event_at", clock.kst_timestamp(F.col("event_at"))).select(
         "log_id",
@@ -143,4 +158,5 @@ def behavior_logs(raw: DataFrame) -> DataFrame:
         *_LINEAGE,
         "event_pos",
         F.to_date("event_at").alias("event_date"),
+        "unreadable",
     )

@@ -150,8 +150,7 @@ bought{tag} AS (
     COUNT(DISTINCT o.order_id) AS purchase_from_orders
   FROM ords o LEFT JOIN lt ON o.user_id = lt.user_id WHERE TRUE {paid} {keep} GROUP BY 1, 2, 3),
 counted{tag} AS (
-  SELECT a.*, CASE WHEN COALESCE(b.purchase_from_orders, 0) >= a.purchase_from_logs
-      THEN COALESCE(b.purchase_from_orders, 0) ELSE a.purchase_from_logs END AS purchase_completed_count
+  SELECT a.*, GREATEST(COALESCE(b.purchase_from_orders, 0), a.purchase_from_logs) AS purchase_completed_count
   FROM agg{tag} a LEFT JOIN bought{tag} b ON a.base_date = b.base_date AND a.platform = b.platform
     AND a.utm_source = b.utm_source),
 funnel{tag} AS (
@@ -341,7 +340,15 @@ SELECT 's-' || CAST(event_id // 4 AS VARCHAR) AS raw_id,
   CAST(ROW_NUMBER() OVER (PARTITION BY event_id // 4 ORDER BY event_id) - 1 AS INTEGER) AS event_pos,
   log_id AS event_id, session_id, event_name FROM ev""",
     "std_events": STD_EVENTS,
-    "orders_upsert_latest": f"WITH {VERSIONS} SELECT {STD_COLUMNS} FROM latest",
+    "orders_upsert_latest": f"WITH {VERSIONS} SELECT {STD_COLUMNS} FROM latest WHERE product_id IS NOT NULL",
+    "upsert_loads": f"""WITH {VERSIONS},
+parts AS (SELECT *, batch_date < DATE '2024-01-16' AS early, product_id IS NOT NULL AS good FROM std)
+SELECT 'early' AS load, COUNT(DISTINCT order_id) FILTER (good) AS submitted,
+  COUNT(DISTINCT order_id) FILTER (good) AS changed, COUNT(*) FILTER (NOT good) AS rejected FROM parts WHERE early
+UNION ALL SELECT 'late', COUNT(DISTINCT order_id) FILTER (good), COUNT(DISTINCT order_id) FILTER (good),
+  COUNT(*) FILTER (NOT good) FROM parts WHERE NOT early
+UNION ALL SELECT 'early again', COUNT(DISTINCT order_id) FILTER (good), 0, COUNT(*) FILTER (NOT good)
+FROM parts WHERE early""",
     "logs_insert_ignore": f"""WITH {LOGS}
 SELECT CASE WHEN event_date <= DATE '2024-01-20' THEN 'kept' ELSE 'inserted' END AS origin,
   log_id, session_id, event_name, event_at FROM logs""",
@@ -437,8 +444,22 @@ FROM runs""",
 checked AS (SELECT *, payment_amount AS amount_before_fx, CAST(paid_date AS TIMESTAMP) AS paid_at FROM full_ords)
 {_rules('checked', ORDER_RULES)}""",
     "dq_events": f"WITH {EVENTS}, checked AS (SELECT *, device AS device_type FROM ev) {_rules('checked', LOG_RULES)}",
-    "dq_quarantine": f"""WITH {VERSIONS}
-SELECT order_id, 'product_id missing' AS violations FROM latest WHERE product_id IS NULL""",
+    "dq_quarantine": f"""WITH {VERSIONS},{EVENTS},
+spoilt_orders AS (
+  SELECT raw_id, CAST(NULL AS VARCHAR) AS key, CASE platform
+    WHEN 'NAVER' THEN 'order_id missing, product_id missing, payment_amount missing, amount_before_fx missing, paid_at missing'
+    ELSE 'order_id missing, product_id missing, payment_amount missing, discount_amount missing, amount_before_fx missing, currency_code missing, paid_at missing' END AS violations
+  FROM std WHERE CAST(order_id AS BIGINT) % 97 = 0),
+spoilt_sessions AS (
+  SELECT DISTINCT 's-' || CAST(event_id // 4 AS VARCHAR) AS raw_id FROM ev WHERE event_id // 4 % 97 = 0
+  UNION ALL SELECT 'c-' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 97 = 0)
+SELECT * FROM spoilt_orders UNION ALL
+SELECT raw_id, order_id, 'product_id missing' FROM std
+WHERE product_id IS NULL AND CAST(order_id AS BIGINT) % 97 <> 0 UNION ALL
+SELECT raw_id, NULL, 'log_id missing, session_id missing, event_name missing, event_at missing, event_date missing, payload unreadable'
+FROM spoilt_sessions UNION ALL
+SELECT 's-' || CAST(event_id // 4 AS VARCHAR), log_id, 'event_name unknown' FROM ev
+WHERE event_name = 'error' AND event_id // 4 % 97 <> 0""",
     "dq_marts": f"""{FUNNEL}, {RFM.replace('WITH ', '', 1).replace(ORDERS + ',', '', 1)}
 SELECT 'funnel' AS mart, * FROM ({_rules('funnel', FUNNEL_RULES)}) UNION ALL
 SELECT 'rfm' AS mart, * FROM ({_rules('rfm', RFM_RULES)})""",

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.operators import keyed, quality, standardize
 from tillmart.sources.day_table import DayTable
-from tillmart.sources.shared import scratch
+from tillmart.sources.shared import existing_parquet, scratch
 
 
 @dataclass(frozen=True)
@@ -23,16 +25,26 @@ class RejectedRows(ValueError):
     """Rows broke a rule and the load was asked to fail on that."""
 
 
+def _put_aside(bad: DataFrame, path: str, place: Sequence[str]) -> None:
+    """Add rejected rows to the quarantine; those it has already, by ``place``, stay as they are."""
+    known = existing_parquet(bad.sparkSession, path, bad.schema)
+    if known is not None:
+        same = [F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}")) for c in place[1:]]
+        on = reduce(Column.__and__, same, F.col(f"b.{place[0]}") == F.col(f"k.{place[0]}"))
+        bad = bad.alias("b").join(known.select(*place).alias("k"), on, "left_anti")
+    bad.write.mode("append").parquet(path)
+
+
 def _accept(
-    flagged: DataFrame, quarantine: str | None, on_reject: str
+    flagged: DataFrame, quarantine: str | None, on_reject: str, place: Sequence[str]
 ) -> tuple[DataFrame, int]:
-    """Rows that keep every rule. The others go to ``quarantine`` or stop the load."""
+    """Rows that keep every rule. The others go to ``quarantine``; without one the load stops."""
     bad = quality.rejected(flagged)
     n_bad = bad.count()
-    if n_bad and on_reject == "fail":
+    if n_bad and (quarantine is None or on_reject == "fail"):
         raise RejectedRows(f"{n_bad} rows break a rule")
-    if n_bad and quarantine is not None:
-        bad.write.mode("append").parquet(quarantine)
+    if n_bad:
+        _put_aside(bad, quarantine, place)
     return quality.clean(flagged), n_bad
 
 
@@ -42,37 +54,42 @@ def upsert_orders(
     quarantine: str | None = None,
     on_reject: str = "quarantine",
 ) -> LoadStats:
-    """Merge order versions into staging; the newest version of an order stays.
+    """Merge order versions into staging; the newest good version of an order stays.
 
-    Versions are compared over all history, so loading an old batch again cannot undo a
-    newer status. Only the days that hold, or will hold, one of these orders are rewritten.
+    Every version is held against the rules before the newest is chosen, so each bad one is put
+    aside and none hides a good one. Versions are compared over all history, so loading an old
+    batch again cannot undo a newer status. Only days that lose or gain a version are rewritten.
     """
-    newest = quality.with_violations(keyed.latest_orders(versions), quality.order_rules())
-    with scratch(newest, "orders") as flagged:
-        batch, n_bad = _accept(flagged, quarantine, on_reject)
-        known = (
-            table.read()
-            .join(batch.select("order_id"), "order_id", "left_semi")
-            .select(
-                "order_id",
-                F.col("paid_date").alias("old_date"),
-                F.struct(*keyed.ORDER_VERSION).alias("old_version"),
+    rules = quality.order_rules()
+    with scratch(quality.with_violations(versions, rules), "versions") as flagged:
+        good, n_bad = _accept(flagged, quarantine, on_reject, ("raw_id",))
+        with scratch(keyed.latest_orders(good), "orders") as batch:
+            known = (
+                table.read()
+                .join(batch.select("order_id"), "order_id", "left_semi")
+                .select(
+                    "order_id",
+                    F.col("paid_date").alias("old_date"),
+                    F.struct(*keyed.ORDER_VERSION).alias("old_version"),
+                )
+            )
+            is_newer = F.struct(*keyed.ORDER_VERSION) > F.col("old_version")
+            pairs = batch.join(known, "order_id", "left").withColumn(
+                "newer", F.coalesce(is_newer, F.lit(True))
             )
-        )
-        is_newer = F.coalesce(F.struct(*keyed.ORDER_VERSION) > F.col("old_version"), F.lit(True))
-        # One line per pair of calendar days.
-        moves = (
-            batch.join(known, "order_id", "left")
-            .groupBy("paid_date", "old_date")
-            .agg(F.count("*").alias("n"), F.count_if(is_newer).alias("newer"))
-            .collect()
-        )
-        days = {d for m in moves for d in (m["paid_date"], m["old_date"]) if d is not None}
-        if days:
-            old = table.read(days)
-            new = batch.withColumn("loaded_at", F.current_timestamp())
-            table.replace_days(keyed.latest_orders(old.unionByName(new)), days)
-        return LoadStats(sum(m["n"] for m in moves), sum(m["newer"] for m in moves), n_bad)
+            # One line per pair of calendar days.
+            moves = (
+                pairs.groupBy("paid_date", "old_date")
+                .agg(F.count("*").alias("n"), F.count_if("newer").alias("newer"))
+                .collect()
+            )
+            moved = [m for m in moves if m["newer"]]
+            days = {d for m in moved for d in (m["paid_date"], m["old_date"]) if d is not None}
+            if days:
+                new = pairs.where("newer").select(*batch.columns)
+                new = new.withColumn("loaded_at", F.current_timestamp())
+                table.replace_days(keyed.latest_orders(table.read(days).unionByName(new)), days)
+            return LoadStats(sum(m["n"] for m in moves), sum(m["newer"] for m in moves), n_bad)
 
 
 def insert_logs(
@@ -81,10 +98,16 @@ def insert_logs(
     quarantine: str | None = None,
     on_reject: str = "quarantine",
 ) -> LoadStats:
-    """Add logs whose log_id staging does not have yet; existing rows are never touched."""
-    newest = quality.with_violations(keyed.first_logs(logs), quality.log_rules())
-    with scratch(newest, "logs") as flagged:
-        batch, n_bad = _accept(flagged, quarantine, on_reject)
+    """Add logs whose log_id staging does not have yet; existing rows are never touched.
+
+    As with orders, rows that break a rule are put aside before copies are dropped.
+    """
+    rules = dict(quality.log_rules())
+    if "unreadable" in logs.columns:
+        rules["payload unreadable"] = F.col("unreadable")
+    with scratch(quality.with_violations(logs, rules), "logs") as flagged:
+        good, n_bad = _accept(flagged, quarantine, on_reject, ("raw_id", "event_pos"))
+        batch = keyed.first_logs(good)
         fresh = keyed.unseen(batch, table.read(), "log_id")
         inserted = table.add(fresh.withColumn("loaded_at", F.current_timestamp()))
         return LoadStats(batch.count(), inserted, n_bad)

@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 #: Folders for sessions that were started without the setting, by application.
@@ -45,6 +47,16 @@ def _write(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def existing_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """What lies under ``path``, or None if there is no such folder."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 @contextmanager
 def scratch(frame: DataFrame, name: str) -> Iterator[DataFrame]:
     """``stored`` for rows nobody needs after the block; the files are emptied then."""
