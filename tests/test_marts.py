@@ -18,27 +18,29 @@ D = Decimal
 def test_sample_funnel(spark):
     got = rows(funnel.funnel_daily(orders_frame(spark), logs_frame(spark)))
     assert got == [
-        (date(2026, 8, 10), "NAVER", "google", 1, 1, 1, 0, 1, D("1.0000")),
-        (date(2026, 8, 18), "NAVER", "naver", 1, 1, 1, 1, 1, D("1.0000")),
-        (date(2026, 8, 19), "AMAZON", "facebook", 1, 1, 1, 1, 1, D("1.0000")),
-        (date(2026, 8, 19), "NAVER", "(direct)", 1, 1, 0, 0, 0, D("0.0000")),
+        (date(2025, 3, 2), "NAVER", "google", 1, 1, 0, 0, 1, D("1.0000")),
+        # LEE's order counts under the last campaign, which has no events on that day.
+        (date(2025, 3, 3), "AMAZON", "kakao", 1, 1, 1, 1, 0, D("0.0000")),
+        (date(2025, 3, 4), "AMAZON", "instagram", 1, 1, 0, 0, 0, D("0.0000")),
+        (date(2025, 3, 4), "AMAZON", "naver", 1, 1, 1, 0, 1, D("1.0000")),
+        (date(2025, 3, 4), "NAVER", "(direct)", 1, 1, 0, 0, 0, D("0.0000")),
     ]
 
 
 def test_sample_rfm(spark):
-    got = rows(rfm.rfm_segments(orders_frame(spark), date(2026, 8, 20)))
+    got = rows(rfm.rfm_segments(orders_frame(spark), date(2025, 3, 10)))
     assert got == [
-        ("U001", date(2026, 8, 18), 2, 2, D("134000.00"), 4, 3, 4, "VIP"),
-        ("U002", date(2026, 8, 10), 10, 1, D("120000.00"), 3, 1, 2, "겨울잠"),
-        ("U003", date(2026, 8, 19), 1, 2, D("127000.00"), 5, 4, 3, "VIP"),
-        ("U004", date(2026, 6, 1), 80, 1, D("29000.00"), 2, 2, 1, "겨울잠"),
+        ("CHOI", date(2025, 3, 4), 6, 2, D("80000.00"), 5, 3, 3, "VIP"),
+        ("KIM", date(2025, 3, 4), 6, 3, D("90000.00"), 4, 4, 4, "VIP"),
+        ("LEE", date(2025, 3, 3), 7, 1, D("76000.00"), 3, 1, 2, "겨울잠"),
+        ("PARK", date(2025, 1, 15), 54, 1, D("15000.00"), 2, 2, 1, "겨울잠"),
     ]
 
 
 def test_window_ends_are_included(spark):
-    window = (date(2026, 8, 10), date(2026, 8, 18))
+    window = (date(2025, 3, 2), date(2025, 3, 3))
     got = rows(funnel.funnel_daily(orders_frame(spark), logs_frame(spark), window), "base_date")
-    assert got == [(date(2026, 8, 10),), (date(2026, 8, 18),)]
+    assert got == [(date(2025, 3, 2),), (date(2025, 3, 3),)]
 
 
 def test_first_touch_before_the_window_still_counts(spark):
@@ -80,7 +82,7 @@ def test_session_with_guest_and_user_counts_on_both_platforms(spark):
         spark,
         [
             ("1", "S", None, "view_item", "google", "x", "app", "2026-08-18 09:00:00"),
-            ("2", "S", "U003", "purchase", "google", "x", "app", "2026-08-18 09:10:00"),
+            ("2", "S", "LEE", "purchase", "google", "x", "app", "2026-08-18 09:10:00"),
         ],
     )
     got = rows(funnel.funnel_counts(logs, orders_frame(spark)), "platform", "total_visitors")
@@ -91,8 +93,8 @@ def test_one_visitor_per_session_even_with_two_users_on_a_platform(spark):
     logs = logs_frame(
         spark,
         [
-            ("1", "S", "U001", "view_item", "google", "x", "app", "2026-08-18 09:00:00"),
-            ("2", "S", "U002", "view_item", "google", "x", "app", "2026-08-18 09:10:00"),
+            ("1", "S", "KIM", "view_item", "google", "x", "app", "2026-08-18 09:00:00"),
+            ("2", "S", "PARK", "view_item", "google", "x", "app", "2026-08-18 09:10:00"),
             ("3", "S", None, "view_item", "google", "x", "app", "2026-08-18 09:11:00"),
         ],
     )
@@ -115,7 +117,7 @@ def test_only_paid_orders_count_unless_the_filter_is_off(spark):
     orders = orders_frame(spark, status="SHIPPED")
     assert rows(funnel.confirmed_purchases(orders, logs_frame(spark))) == []
     got = rows(funnel.confirmed_purchases(orders, logs_frame(spark), status=None), "purchase_from_orders")
-    assert sum(n for (n,) in got) == 6
+    assert sum(n for (n,) in got) == 7
 
 
 def test_rate_is_capped_and_orders_without_events_vanish(spark):

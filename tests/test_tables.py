@@ -372,6 +372,15 @@ def test_whole_run(spark, tmp_path, sf_dir):
     stats = house.run(dates, date(2024, 2, 3), raw_orders, raw_logs)
     assert stats.raw_orders == raw_orders.count() and stats.raw_logs == raw_logs.count()
     assert stats.orders.rejected > 0 and stats.logs.rejected > 0
+    assert stats.cancelled == raw_orders.where("payload_json LIKE '%CANCELLED%'").count()
+    assert stats.refunded == 0
+    unknown = raw_orders.limit(3).withColumn("source_api", F.lit("fax"))
+    with pytest.raises(staging.RejectedRows):
+        house.land(unknown, None)
+    candidates = house.recheck(date(2024, 1, 30))
+    assert candidates.count() == house.orders.read().where(
+        "order_status = 'PAID' AND paid_date >= '2024-01-16' AND paid_date < '2024-01-30'"
+    ).count()
     assert stats.orders.submitted == stats.orders.changed == house.orders.read().count()
 
     latest = keyed.latest_orders(standardize.orders(raw_orders)).where("product_id IS NOT NULL")

@@ -9,15 +9,11 @@ from pyspark.sql import functions as F
 
 from tillmart.schemas import DEFAULT_DEVICE, DEVICE_TYPES, UNKNOWN_BUYER
 
-# Source field to staging column. The loads compute amounts themselves (the amount
-# before exchange is the net total for the first source), so the order maps are for `mapped` only.
+# Source field to staging column. Amounts are computed by the loads.
 NAVER_COLUMNS = {
     "orderNo": "order_id",
     "buyerId": "user_id",
     "productNo": "product_id",
-    "totalPayment": "payment_amount",
-    "discountAmt": "discount_amount",
-    "originAmt": "amount_before_fx",
     "currency": "currency_code",
     "paidDatetime": "paid_at",
     "orderStatus": "order_status",
@@ -26,9 +22,9 @@ AMAZON_COLUMNS = {
     "AmazonOrderId": "order_id",
     "BuyerEmail": "user_id",
     "ASIN": "product_id",
-    "OrderTotal.Amount": "payment_amount",
-    "OrderStatus": "order_status",
+    "OrderTotal.CurrencyCode": "currency_code",
     "PurchaseDate": "paid_at",
+    "OrderStatus": "order_status",
 }
 EVENT_COLUMNS = {
     "event_id": "log_id",

@@ -37,20 +37,32 @@ def _promotion(value: Column) -> Column:
     return F.when(value.isNull() | (is_object & amount.isNull()), 0).otherwise(money.number(amount))
 
 
+def _read(p: DataFrame, currency: Column) -> DataFrame:
+    """Mapped order fields with defaults filled in and times read."""
+    return p.withColumns(
+        {
+            "user_id": fields.buyer(F.col("user_id")),
+            "currency_code": currency,
+            "paid_at": clock.kst_timestamp(F.col("paid_at")),
+            "order_status": _status(F.col("order_status")),
+        }
+    )
+
+
 def naver_orders(raw: DataFrame) -> DataFrame:
     """Orders of the first source. Rates are those of the batch date, not of the payment."""
     p = _with_payload(raw, NAVER_ORDER).select(
         *_LINEAGE,
-        F.col("p.orderNo").alias("order_id"),
-        fields.buyer(F.col("p.buyerId")).alias("user_id"),
-        F.col("p.productNo").alias("product_id"),
+        *fields.mapped("p", fields.NAVER_COLUMNS),
         money.number(F.col("p.totalPayment")).alias("net"),
         _won_discount(F.col("p.discountAmt")).alias("discount"),
-        F.when(F.col("p.currency").isNull(), money.HOME_CURRENCY)
-        .otherwise(F.upper(money.json_text(F.col("p.currency"))))
-        .alias("currency_code"),
-        clock.kst_timestamp(F.col("p.paidDatetime")).alias("paid_at"),
-        _status(F.col("p.orderStatus")).alias("order_status"),
+    )
+    currency = F.col("currency_code")
+    p = _read(
+        p,
+        F.when(currency.isNull(), money.HOME_CURRENCY).otherwise(
+            F.upper(money.json_text(currency))
+        ),
     ).withColumn("fx_rate", money.fx_rate(F.col("currency_code"), F.col("batch_date")))
     currency, rate = F.col("currency_code"), F.col("fx_rate")
     return _staged_order(
@@ -66,15 +78,11 @@ def amazon_orders(raw: DataFrame) -> DataFrame:
     """Orders of the second source: every amount is multiplied by the rate, won included."""
     p = _with_payload(raw, AMAZON_ORDER).select(
         *_LINEAGE,
-        F.col("p.AmazonOrderId").alias("order_id"),
-        fields.buyer(F.col("p.BuyerEmail")).alias("user_id"),
-        F.col("p.ASIN").alias("product_id"),
+        *fields.mapped("p", fields.AMAZON_COLUMNS),
         money.number(F.col("p.OrderTotal.Amount")).alias("net"),
         _promotion(F.col("p.PromotionDiscount")).alias("discount"),
-        F.col("p.OrderTotal.CurrencyCode").alias("currency_code"),
-        clock.kst_timestamp(F.col("p.PurchaseDate")).alias("paid_at"),
-        _status(F.col("p.OrderStatus")).alias("order_status"),
-    ).withColumn("fx_rate", money.fx_rate(F.col("currency_code"), F.col("batch_date")))
+    )
+    p = _read(p, F.col("currency_code")).withColumn("fx_rate", money.fx_rate(F.col("currency_code"), F.col("batch_date")))
     rate = F.col("fx_rate")
     return _staged_order(
         p,

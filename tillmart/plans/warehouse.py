@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.operators import collection, quality
+from tillmart.operators import collection, quality, standardize
 from tillmart.plans import marts, reports, staging
 from tillmart.schemas import (
     FUNNEL_MART,
@@ -22,6 +22,7 @@ from tillmart.schemas import (
 )
 from tillmart.sources import raw_zone
 from tillmart.sources.day_table import DayTable
+from tillmart.sources.shared import scratch
 
 logger = logging.getLogger(__name__)
 
@@ -30,6 +31,8 @@ logger = logging.getLogger(__name__)
 class RunStats:
     raw_orders: int
     raw_logs: int
+    cancelled: int
+    refunded: int
     orders: staging.LoadStats
     logs: staging.LoadStats
     funnel_rows: int
@@ -55,13 +58,24 @@ class Warehouse:
     def land(self, orders: DataFrame | None, logs: DataFrame | None) -> tuple[int, int]:
         """Append raw rows (see ``raw_zone.raw_rows``) and their JSON files; returns the counts."""
         feeds = (
-            (orders, self.raw_orders_path, f"{self.root}/json/ecommerce_orders"),
-            (logs, self.raw_logs_path, f"{self.root}/json/user_behavior_logs"),
+            (orders, self.raw_orders_path, "ecommerce_orders", quality.raw_order_rules()),
+            (logs, self.raw_logs_path, "user_behavior_logs", quality.raw_log_rules()),
         )
-        for rows, table, files in feeds:
-            if rows is not None:
-                raw_zone.land(rows, table, files)
-        return tuple(0 if rows is None else rows.count() for rows, _, _ in feeds)
+        return tuple(
+            0 if rows is None else self._land(rows, table, f"{self.root}/json/{name}", rules)
+            for rows, table, name, rules in feeds
+        )
+
+    @staticmethod
+    def _land(rows: DataFrame, table: str, files: str, rules: quality.Rules) -> int:
+        """Land rows that were written once and keep the raw rules; otherwise nothing lands."""
+        with scratch(rows, "landing") as fetched:
+            bad = F.count_if(quality.breaks_any(rules))
+            n, n_bad = fetched.agg(F.count("*"), bad).first()
+            if n_bad:
+                raise staging.RejectedRows(f"{n_bad} raw rows break a rule")
+            raw_zone.land(fetched, table, files)
+            return n
 
     def _raw(self, path: str, batch_dates: Sequence[date] | None = None) -> DataFrame | None:
         try:
@@ -85,6 +99,7 @@ class Warehouse:
         of processing does not matter and a backfill needs no loop over days.
         """
         landed = self.land(raw_orders, raw_logs)
+        moved = self._status_changes(raw_orders)
         order_days = sorted({d for r in run_dates for d in collection.order_dates(r)})
         log_days = sorted({d for r in run_dates for d in collection.behavior_dates(r)})
 
@@ -107,6 +122,7 @@ class Warehouse:
             logger.warning("fewer than %d behaviour logs in staging", MIN_LOG_RECORDS)
         return RunStats(
             *landed,
+            *moved,
             order_stats,
             log_stats,
             self.funnel.read().count(),
@@ -114,6 +130,19 @@ class Warehouse:
             enough,
         )
 
+    @staticmethod
+    def _status_changes(raw_orders: DataFrame | None) -> tuple[int, int]:
+        """Cancelled and refunded versions among the raw orders handed to a run."""
+        if raw_orders is None:
+            return 0, 0
+        changes = reports.status_changes(standardize.orders(raw_orders))
+        sums = changes.agg(F.sum("cancelled"), F.sum("refunded")).first()
+        return sums[0] or 0, sums[1] or 0
+
+    def recheck(self, run_date: date) -> DataFrame:
+        """Paid orders whose status a run of that date should ask for again."""
+        return collection.recheck_candidates(self.orders.read(), run_date)
+
     def tables(self) -> Mapping[str, DataFrame | None]:
         return {
             "raw_ecommerce_orders": self._raw(self.raw_orders_path),
