@@ -163,7 +163,9 @@ def test_raw_rules(spark):
 
 def test_keys_references_volume(spark):
     data = spark.createDataFrame([("a", "r1"), ("a", "r2"), ("b", None), ("c", "r9")], "k string, raw_id string")
+    data = data.withColumn("batch_date", F.lit(date(2026, 8, 1)))
     raw = spark.createDataFrame([("r1",), ("r2",)], "raw_id string")
+    raw = raw.withColumn("batch_date", F.lit(date(2026, 8, 1)))
     assert rows(quality.duplicate_keys(data, "k")) == [("a", 2)]
     assert rows(quality.orphans(data, raw), "k") == [("c",)]
     assert tuple(quality.volume(data, 4).first()) == (4, 4, True)

@@ -190,3 +190,31 @@ def test_column_maps(spark):
         k: v for k, v in fields.AMAZON_COLUMNS.items() if k in ("AmazonOrderId", "OrderTotal.CurrencyCode")
     }
     assert frame.select(*fields.mapped("p", picked)).first().asDict() == {"order_id": "1", "currency_code": "USD"}
+
+
+def test_iso_forms_are_read_as_python_reads_them(spark):
+    from datetime import datetime, timedelta, timezone
+
+    kst = timezone(timedelta(hours=9))
+    forms = [
+        "2024-03-01T10:00:00,5Z", "2024-03-01T10:00:00+09:00:30", "20240301T101010", "2024-03-01T10",
+        "2024-03-01_10:00", "\t2024-03-01 10:00:00 ", "20240301", "2024-03-01T1010-0530", "2024-03-01T10Z",
+        "2024-03-01T10:00:00.123456+00:00", "2024-03-01T23:59:59-12", "2024-03-01T101010.5+090030",
+        "2024-02-30T10:00:00", "2024-03-01T10:1", "2024-03-01T25:00", "nonsense", "", "2024-03-01T10:00:00+25:00",
+        "2024-03-01T10:00:00 (local)", "2024-03-01T10:1010", " 2024-03-01T10:00:00 x",
+    ]
+
+    def read(text):
+        try:
+            at = datetime.fromisoformat(text.strip().replace("Z", "+00:00"))
+        except ValueError:
+            try:
+                at = datetime.strptime(text[:19], "%Y-%m-%dT%H:%M:%S")
+            except ValueError:
+                return None
+        at = at.astimezone(kst).replace(tzinfo=None) if at.tzinfo else at
+        return at.replace(microsecond=0)
+
+    frame = spark.createDataFrame([(t,) for t in forms], "t string")
+    got = {r.t: r.at for r in frame.select("t", clock.kst_timestamp(F.col("t")).alias("at")).collect()}
+    assert got == {t: read(t) for t in forms}

@@ -10,24 +10,48 @@ from pyspark.sql import functions as F
 
 KST_OFFSET_SECONDS = 9 * 3600
 
-_DATE = r"^\d{4}-\d{2}-\d{2}"
-_TIME = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
-ZONED = f"{_DATE}{_TIME}" + r"(Z|[+-]\d{2}(:?\d{2})?)$"
-# Without an offset, or with anything unreadable after a full second: the first 19 characters count.
-WALL_CLOCK = f"{_DATE}({_TIME})?$|{_DATE}" + r"T\d{2}:\d{2}:\d{2}"
+#: ISO 8601 as sources write it: date, any separator, time to the hour, minute or second with a
+#: fraction after a point or comma, offset down to the second; each part with separators or without.
+_DATE = r"\d{4}-\d{2}-\d{2}|\d{8}"
+_FRACTION = r"(?:[.,]\d+)?"
+_CLOCK = rf"\d{{2}}(?::\d{{2}}(?::\d{{2}}{_FRACTION})?)?|\d{{4}}(?:\d{{2}}{_FRACTION})?"
+ISO = rf"(?s)^({_DATE})(?:.({_CLOCK})(Z|[+-](?:{_CLOCK}))?)?$"
+#: What is no ISO 8601 but begins with a full second counts up to there.
+SECOND_AND_MORE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
+_BLANK = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+
+
+def _digits(text: Column) -> Column:
+    """Hour, minute and second of a clock as six digits."""
+    return F.rpad(F.regexp_replace(F.regexp_replace(text, r"[.,].*", ""), r"\D", ""), 6, "0")
 
 
 def kst_timestamp(raw: Column) -> Column:
     """Parse an ISO-8601 string to KST seconds; null when it cannot be read.
 
-    Strings with ``Z`` or an offset are converted, strings without one are KST already, and
-    trailing junk after the seconds (with any offset in it) is ignored.
+    Strings with ``Z`` or an offset are converted, strings without one are KST already. Of a
+    string that is not ISO 8601 but begins with a full second, the rest is ignored.
     """
-    text = F.trim(raw)
-    instant = F.unix_seconds(text.try_cast("timestamp")) + KST_OFFSET_SECONDS
-    moved = F.timestamp_add("SECOND", instant, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    wall = F.substring(text, 1, 19).try_cast("timestamp_ntz")
-    return F.coalesce(F.when(text.rlike(ZONED), moved), F.when(text.rlike(WALL_CLOCK), wall))
+    text = F.regexp_replace(raw, _BLANK, "")
+    part = lambda n: F.regexp_extract(text, ISO, n)
+    day, time, offset = F.replace(part(1), F.lit("-"), F.lit("")), _digits(part(2)), part(3)
+    cut = lambda of, at, n: F.substring(of, at, n)
+    wall = F.concat(
+        cut(day, 1, 4), F.lit("-"), cut(day, 5, 2), F.lit("-"), cut(day, 7, 2), F.lit(" "),
+        cut(time, 1, 2), F.lit(":"), cut(time, 3, 2), F.lit(":"), cut(time, 5, 2),
+    ).try_cast("timestamp_ntz")
+    ahead = _digits(offset)
+    hours, minutes, seconds = (cut(ahead, n, 2).cast("int") for n in (1, 3, 5))
+    east = (hours * 3600 + minutes * 60 + seconds) * F.when(offset.startswith("-"), -1).otherwise(1)
+    zoned = F.when(
+        (hours < 24) & (minutes < 60) & (seconds < 60),
+        F.timestamp_add("SECOND", KST_OFFSET_SECONDS - east, wall),
+    )
+    begun = F.substring(raw, 1, 19).try_cast("timestamp_ntz")
+    return F.coalesce(
+        F.when(text.rlike(ISO), F.when(offset == "", wall).otherwise(zoned)),
+        F.when(raw.rlike(SECOND_AND_MORE), begun),
+    )
 
 
 def whole_second(at: Column) -> Column:

@@ -146,8 +146,13 @@ def duplicate_keys(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def orphans(rows: DataFrame, raw: DataFrame) -> DataFrame:
-    """Rows whose raw_id is set but not in the raw zone."""
-    return rows.where(F.col("raw_id").isNotNull()).join(raw.select("raw_id"), "raw_id", "left_anti")
+    """Rows whose raw_id is set but not in the raw zone.
+
+    A raw row lies in its own batch, so only the batches that ``rows`` name are read.
+    """
+    return rows.where(F.col("raw_id").isNotNull()).join(
+        raw.select("batch_date", "raw_id"), ["batch_date", "raw_id"], "left_anti"
+    )
 
 
 def volume(logs: DataFrame, floor: int = MIN_LOG_RECORDS) -> DataFrame:

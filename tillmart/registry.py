@@ -493,7 +493,8 @@ def status_change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = standardize.orders(star_tables.raw_orders(spark, sf_dir))
     logs = standardize.behavior_logs(star_tables.raw_sessions(spark, sf_dir))
-    runs = logs.select(F.col("batch_date").alias("run_date")).distinct()
+    sent = star_tables.raw_sessions(spark, sf_dir)
+    runs = sent.select(F.col("batch_date").alias("run_date")).distinct()
     return reports.run_totals(collection.collection_plan(runs, ORDER_LOOKBACK_DAYS), orders, logs)
 
 
