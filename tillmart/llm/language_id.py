@@ -18,7 +18,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,17 +45,35 @@ MAX_WORDS = 500_000
 UNKNOWN = "und"
 
 
-def grams(word: bytes) -> list[int]:
-    """Buckets of the n-grams of a word; none if it has no letter."""
-    letters = "".join(c for c in word.decode().lower() if c.isalpha())
-    if not letters:
-        return []
-    marked = f" {letters} "
-    return [
-        zlib.crc32(marked[i : i + n].encode()) % BUCKETS
-        for n in LENGTHS
-        for i in range(n == 1, len(marked) - n + 1 - (n == 1))
-    ]
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of all words in a row, and how many each word has.
+
+    Letters are lower-cased, other characters left out; a word without a letter has none.
+    """
+    joined = " " + " ".join(w.decode().replace(" ", "") for w in words).lower() + " "
+    points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    found, at = np.unique(points, return_inverse=True)
+    kept = np.array([chr(p).isalpha() or p == 32 for p in found.tolist()])[at]
+    points = points[kept].astype(np.uint64)
+    edge = points == 32
+    owner = np.cumsum(edge) - 1
+    owners, hashes = [], []
+    for n in LENGTHS:
+        size = len(points) - n + 1
+        begin = np.arange(max(size, 0))
+        # One letter alone, two characters of which one is a letter, three around a letter.
+        letter = ~edge[begin + n // 2] if n != 2 else ~(edge[begin] & edge[begin + 1])
+        begin = begin[letter]
+        h = np.full(len(begin), n, np.uint64)
+        for k in range(n):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + points[begin + k]
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        owners.append(owner[begin])
+        hashes.append((h >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32))
+    owners = np.concatenate(owners)
+    order = np.argsort(owners, kind="stable")
+    return np.concatenate(hashes)[order], np.bincount(owners, minlength=len(words))
 
 
 class Words(dict):
@@ -63,39 +81,63 @@ class Words(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.flat, self.begins, self.sizes = array("i"), array("q"), array("q")
+        self.start_over()
+
+    def start_over(self) -> None:
+        self.clear()
+        self.new: list[bytes] = []
+        self.flat = array("i")
+        self.edges = array("q", [0])
+        self.scores: dict[str, np.ndarray] = {}
 
     def __missing__(self, word: bytes) -> int:
-        found = grams(word)
-        code = self[word] = len(self.begins)
-        self.begins.append(len(self.flat))
-        self.sizes.append(len(found))
-        self.flat.extend(found)
+        code = self[word] = len(self)
+        self.new.append(word)
         return code
 
+    def _take_in(self) -> None:
+        """Find the n-grams of the words that are new."""
+        if self.new:
+            flat, sizes = grams(self.new)
+            self.flat.frombytes(flat.tobytes())
+            self.edges.frombytes((self.edges[-1] + np.cumsum(sizes)).astype(np.int64).tobytes())
+            self.new = []
+
     def numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words of the texts in a row, and where each text begins and ends."""
         if len(self) > MAX_WORDS:
-            self.clear()
-            self.flat, self.begins, self.sizes = array("i"), array("q"), array("q")
+            self.start_over()
         codes, ends = array("q"), [0]
         for text in texts:
             codes.extend(map(self.__getitem__, text.split()))
             ends.append(len(codes))
+        self._take_in()
         return np.frombuffer(codes, np.int64), np.array(ends)
 
-    def counted(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, bucket, count) of every n-gram of every text."""
-        codes, ends = self.numbered(texts)
-        text = np.repeat(np.arange(len(texts)), np.diff(ends))
-        pairs, times = np.unique(text << 40 | codes, return_counts=True)
-        text, codes = pairs >> 40, pairs & ((1 << 40) - 1)
-        size = np.frombuffer(self.sizes, np.int64)[codes]
-        where = np.repeat(np.frombuffer(self.begins, np.int64)[codes] - np.cumsum(size) + size, size)
-        found = np.frombuffer(self.flat, np.int32)[where + np.arange(len(where))]
-        keys, at = np.unique(np.repeat(text, size) * BUCKETS + found, return_inverse=True)
-        counts = np.bincount(at, np.repeat(times, size), len(keys))
-        return keys // BUCKETS, keys % BUCKETS, counts
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """Buckets of all n-grams of the words with these numbers."""
+        edges = np.frombuffer(self.edges, np.int64)
+        begin, size = edges[codes], edges[codes + 1] - edges[codes]
+        where = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        return np.frombuffer(self.flat, np.int32)[where]
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(np.frombuffer(self.edges, np.int64))
+
+    def scored(self, model: Model) -> np.ndarray:
+        """Sums of the weights of all words, one row for each; kept for the next texts."""
+        have = self.scores.get(model.key)
+        done = 0 if have is None else len(have)
+        edges = np.frombuffer(self.edges, np.int64)[done:]
+        flat = np.frombuffer(self.flat, np.int32)[edges[0] :]
+        table = model.table()
+        new = np.empty((len(edges) - 1, len(model.labels)))
+        for label in range(len(model.labels)):
+            upto = np.concatenate([[0], np.cumsum(table[flat, label])])
+            at = edges - edges[0]
+            new[:, label] = upto[at[1:]] - upto[at[:-1]]
+        self.scores = {model.key: new if have is None else np.concatenate([have, new])}
+        return self.scores[model.key]
 
 
 _words: list[Words] = []
@@ -117,25 +159,21 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    key: str = ""
+
+    def table(self) -> np.ndarray:
+        out = np.zeros((BUCKETS, len(self.labels)))
+        out[self.buckets] = self.weights
+        return out
 
     def logits(self, texts: list[bytes], words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Logits of the texts, and the number of n-grams of each."""
-        table = np.zeros((BUCKETS, len(self.labels)))
-        table[self.buckets] = self.weights
         codes, ends = words.numbered(texts)
-        used, at = np.unique(codes, return_inverse=True)
-        size = np.frombuffer(words.sizes, np.int64)[used]
-        where = np.repeat(np.frombuffer(words.begins, np.int64)[used] - np.cumsum(size) + size, size)
-        flat = np.frombuffer(words.flat, np.int32)[where + np.arange(len(where))]
-        edge = np.concatenate([[0], np.cumsum(size)])
         text = np.repeat(np.arange(len(texts)), np.diff(ends))
-        n = np.bincount(text, size[at], len(texts))
-        sums = np.empty((len(texts), len(self.labels)))
-        for label in range(len(self.labels)):
-            upto = np.concatenate([[0], np.cumsum(table[flat, label])])
-            word = upto[edge[1:]] - upto[edge[:-1]]
-            sums[:, label] = np.bincount(text, word[at], len(texts))
-        return self.bias + SCALE * sums / np.maximum(n, 1)[:, None], n
+        n = np.bincount(text, words.sizes()[codes], len(texts))
+        scores = words.scored(self)[codes]
+        sums = [np.bincount(text, scores[:, k], len(texts)) for k in range(len(self.labels))]
+        return self.bias + SCALE * np.array(sums).T / np.maximum(n, 1)[:, None], n
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -177,7 +215,9 @@ def fitted(
     w = weights(np.arange(BUCKETS + 1))
     seen = [(features[i][0], features[i][2] @ w[features[i][1]]) for i in aside]
     some = np.flatnonzero((w[:-1] != 0).any(1))
-    return Model(labels, some, w[some] * idf[some, None], w[-1], _temperature(seen))
+    weighted = w[some] * idf[some, None]
+    key = hashlib.md5(weighted.tobytes() + some.tobytes()).hexdigest()
+    return Model(labels, some, weighted, w[-1], _temperature(seen), key)
 
 
 def _temperature(rows: list[tuple[int, np.ndarray]]) -> float:
@@ -209,25 +249,35 @@ def train(docs: DataFrame) -> Model | None:
     )
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(BUCKETS, np.int64), 0
+        df, n, seen = np.zeros(BUCKETS, np.int64), 0, np.zeros(BUCKETS, bool)
+        words = _store()
         for batch in slices(batches):
-            text, bucket, _ = _store().counted(utf8(batch.column("text")))
-            df += np.bincount(bucket, minlength=BUCKETS)
-            n += len(np.unique(text))
+            codes, ends = words.numbered(utf8(batch.column("text")))
+            for a, b in zip(ends, ends[1:], strict=False):
+                buckets = words.of(codes[a:b])
+                seen[buckets] = True
+                found = np.flatnonzero(seen)
+                seen[found] = False
+                df[found] += 1
+                n += len(found) > 0
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(some, -1)), pa.array(np.append(df[some], n))], ["bucket", "df"]
         )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _store()
         for batch in slices(batches):
-            text, bucket, count = _store().counted(utf8(batch.column("text")))
-            edges = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
+            codes, ends = words.numbered(utf8(batch.column("text")))
+            found = [
+                np.unique(words.of(codes[a:b]), return_counts=True)
+                for a, b in zip(ends, ends[1:], strict=False)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("lang"),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(bucket.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(count.astype(np.int32))),
+                    pa.array([x for x, _ in found], pa.list_(pa.int32())),
+                    pa.array([x for _, x in found], pa.list_(pa.int32())),
                 ],
                 ["lang", "buckets", "counts"],
             )
