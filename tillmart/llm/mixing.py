@@ -8,18 +8,22 @@ sorted by it, which is a random order of the whole.
 
 Defined results: null is a source of its own; sources without a given weight are left out, and
 with no weights given the target is the number of documents to the power ``exponent``. Rows that
-repeat a doc_id draw the same number of copies, each row its own. Other columns are carried along;
-an input that has ``copy`` or ``shuffle_key`` itself gets them replaced. Null texts are kept. An
-empty table gives no rows.
+repeat a doc_id draw the same number of copies, each row its own, and so do all rows with a null
+doc_id: ``sql`` has that rule. With ``by_row`` every row has a draw of its own, hashed from the
+doc_id, the whole row and a number among equal rows. Other columns are carried along; an input that
+has ``copy`` or ``shuffle_key`` itself gets them replaced. Null texts are kept. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmart.sources.shared import stored
+
 EXPONENT = 0.7
 SEED = 10
 #: Rates are broadcast only up to this many entries of all their tables together (8 bytes each).
@@ -35,6 +39,27 @@ def _id(doc_id: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``_key``: a text for each row that no other row and no order of rows changes.
+
+    Equal rows are numbered from 0. The numbers are dealt by where the rows lie, so rows that are
+    equal in very many places are no task of their own.
+    """
+    rows = docs.withColumn("_h", F.xxhash64(*docs.columns)).withColumn("_at", F.spark_partition_id())
+    many = stored(rows.groupBy("_h").count().where("count > 1").select("_h"), "equal-rows")
+    single = rows.join(many, "_h", "left_anti").drop("_at").withColumn("_n", F.lit(0).cast("long"))
+    equal = rows.join(many, "_h", "left_semi")
+    equal = stored(equal.withColumn("_row", F.monotonically_increasing_id()), "equal-rows")
+    places = equal.groupBy("_h", "_at").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_h").orderBy("_at"))
+    places = places.select("_h", "_at", (upto - F.col("_n")).alias("_first"))
+    number = F.row_number().over(Window.partitionBy("_h", "_at").orderBy("_row"))
+    equal = equal.withColumn("_n", number - 1).join(places, ["_h", "_at"])
+    equal = equal.withColumn("_n", F.col("_n") + F.col("_first")).select(*single.columns)
+    key = F.concat_ws(":", _id("doc_id"), F.col("_h").cast("string"), F.col("_n").cast("string"))
+    return single.unionByName(equal).withColumn("_key", key).drop("_h", "_n")
+
+
 def rates(
     docs: DataFrame, weights: Mapping[str, float] | None, exponent: float, total: float | None
 ) -> DataFrame:
@@ -84,6 +109,7 @@ def mixed(
     exponent: float = EXPONENT,
     total: float | None = None,
     seed: int = SEED,
+    by_row: bool = False,
 ) -> DataFrame:
     """All columns of ``docs`` (doc_id, source, ...) with ``copy`` (from 1) and ``shuffle_key``."""
     table = rates(docs, weights, exponent, total).select(
@@ -93,17 +119,17 @@ def mixed(
     if entries <= MOST_ENTRIES:
         table = F.broadcast(table)
     rows = docs.drop("copy", "shuffle_key")
-    u = _digits(F.concat_ws(":", F.lit(str(seed)), _id("doc_id"))) / F.lit(float(1 << 52))
+    rows = _numbered(rows) if by_row else rows.withColumn("_key", _id("doc_id"))
+    u = _digits(F.concat_ws(":", F.lit(str(seed)), "_key")) / F.lit(float(1 << 52))
     rows = rows.join(table, rows["source"].eqNullSafe(table["_source"])).withColumn("_u", u)
     copies = F.size(F.filter("_below", lambda p: p <= F.col("_u")))
     rows = rows.withColumn("_copies", copies).where("_copies > 0").drop("_source", "_below", "_u")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
-    key = _digits(
-        F.concat_ws(":", F.lit(f"{seed}s"), _id("doc_id"), F.col("copy").cast("string"))
-    )
+    key = _digits(F.concat_ws(":", F.lit(f"{seed}s"), "_key", F.col("copy").cast("string")))
     # The place in the input divides rows that share a doc_id and so a key.
     return (
         rows.withColumn("shuffle_key", key)
+        .drop("_key")
         .withColumn("_place", F.spark_partition_id())
         .repartition("shuffle_key", "_place")
         .sortWithinPartitions("shuffle_key")
