@@ -49,7 +49,10 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _lowers(self) -> bool:
-        """Whether the library itself lower-cases A-Z, so that doing it first changes nothing."""
+        """Whether the library itself lower-cases A-Z, so that doing it first changes no ASCII text.
+
+        Before a combining mark it can: some letters have a composed form in lower case only.
+        """
         letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
         return "lowercase" in str(self.tokenizer.normalizer).lower() and all(
             self.tokenizer.normalizer.normalize_str(c) == c.lower() for c in letters
@@ -98,8 +101,12 @@ class Encoder:
         codes, counts = array("q"), []
         for text in texts:
             if self.lowers and not any(m[:2] in text for m in self.marks):
-                text = text.lower()
-            words = text.split()
+                if text.isascii():
+                    words = text.lower().split()
+                else:
+                    words = [w.lower() if w.isascii() else w for w in text.split()]
+            else:
+                words = text.split()
             codes.extend(map(self.words.__getitem__, words))
             counts.append(len(words))
         codes = np.frombuffer(codes, np.int64)
