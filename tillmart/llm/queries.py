@@ -61,7 +61,7 @@ def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return token_counts.token_counts(docs, vocabulary("piece_bpe_32k.model"))
+    return token_counts.token_counts(docs, vocabulary("piece_bpe_32k.model"), spell=True)
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 Greedy longest-match over a word needs one pass when the vocabulary trie has failure links and, at
 every node, the number of pieces that following its link completes. Words are runs of anything but
-ASCII white space. A word that the vocabulary cannot spell counts as one unknown token.
+ASCII white space. With ``spell``, a word that begins with no start piece begins with the bare word
+start, and a character in no piece is its UTF-8 bytes, as the model has it; so no word is unknown.
+Without it, as in the WordPiece model, a word that the pieces cannot spell is one unknown token.
 
 Defined results: null and empty texts have no words and no tokens. Repeated rows are counted each.
 Other columns are dropped, whatever their names. An empty table gives no rows.
@@ -25,9 +27,13 @@ MAX_WORDS = 1_000_000
 
 
 class Automaton:
-    """``starts`` are pieces at the start of a word, ``inner`` those that follow one."""
+    """``starts`` are pieces at the start of a word, ``inner`` those that follow one.
 
-    def __init__(self, starts: Iterable[str], inner: Iterable[str]):
+    ``spell``: the bare word start and the 256 bytes are pieces too.
+    """
+
+    def __init__(self, starts: Iterable[str], inner: Iterable[str], spell: bool = False):
+        self.spell = spell
         self.next: list[dict[str, int]] = [{}, {}]
         self.link: list[int] = [-1, -1]
         self.popped: list[int] = [0, 0]
@@ -45,6 +51,8 @@ class Automaton:
                         whole.append(False)
                     node = found
                 whole[node] = whole[node] or bool(piece)
+        if spell:
+            self.link[0], self.popped[0] = 1, 1
         self._join(whole)
 
     def _join(self, whole: list[bool]) -> None:
@@ -61,6 +69,8 @@ class Automaton:
                         back = self.link[back]
                     if back >= 0:
                         self.link[node], self.popped[node] = self.next[back][c], n
+                    elif self.spell:
+                        self.link[node], self.popped[node] = 1, n + len(c.encode())
                 queue.append(node)
 
     def count(self, word: str) -> int:
@@ -71,7 +81,11 @@ class Automaton:
             while found is None:
                 back = self.link[node]
                 if back < 0:
-                    return 0
+                    if not self.spell:
+                        return 0
+                    n += len(c.encode())
+                    found = node
+                    break
                 n += self.popped[node]
                 node = back
                 found = self.next[node].get(c)
@@ -112,19 +126,29 @@ def pieces(model_file: str) -> tuple[list[str], list[str]]:
     return [x for x in starts if x], [x for x in plain if "▁" not in x]
 
 
+def spells(model_file: str) -> bool:
+    """Whether a sentencepiece vocabulary has the bare word start and every byte."""
+    from sentencepiece import SentencePieceProcessor
+
+    p = SentencePieceProcessor(model_file=model_file)
+    every = range(p.get_piece_size())
+    return sum(map(p.is_byte, every)) == 256 and any(p.id_to_piece(i) == "▁" for i in every)
+
+
 @lru_cache(maxsize=2)
-def _counts(model_file: str) -> _Counts:
-    return _Counts(Automaton(*pieces(model_file)))
+def _counts(model_file: str, spell: bool) -> _Counts:
+    return _Counts(Automaton(*pieces(model_file), spell and spells(model_file)))
 
 
-def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
+def token_counts(docs: DataFrame, model_file: str, spell: bool = False) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_tokens, n_unknown.
 
-    ``n_tokens`` counts an unknown word as one token.
+    ``n_tokens`` counts an unknown word as one token. ``spell`` has an effect only if the vocabulary
+    has the pieces for it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _counts(model_file)
+        counts = _counts(model_file, spell)
         for batch in slices(batches):
             if len(counts) > MAX_WORDS:
                 counts.clear()
