@@ -17,6 +17,7 @@ from tillmart.llm import (
     token_files,
     vector_links,
     warc,
+    word_windows,
 )
 from tillmart.sources.shared import new_folder
 
@@ -79,6 +80,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op13_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_windows.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -93,9 +98,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_files,
             op9_simhash,
             op10_mixing,
+            op13_windows,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_rules": line_rules.SQL, "op10_mixing": mixing.sql()}
+    return {
+        "op3_line_rules": line_rules.SQL,
+        "op10_mixing": mixing.sql(),
+        "op13_windows": word_windows.SQL,
+    }
