@@ -15,6 +15,7 @@ from tillmart.llm import (
     simhash,
     token_counts,
     token_files,
+    vector_codes,
     vector_links,
     warc,
     word_windows,
@@ -80,6 +81,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 def op13_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_windows.report(table(spark, sf_dir, "documents"))
 
@@ -98,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_files,
             op9_simhash,
             op10_mixing,
+            op12_vector_codes,
             op13_windows,
         )
     }
@@ -107,5 +113,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_rules": line_rules.SQL,
         "op10_mixing": mixing.sql(),
+        "op12_vector_codes": vector_codes.SQL,
         "op13_windows": word_windows.SQL,
     }
