@@ -16,9 +16,9 @@ def read(spark, sf_dir, name, *columns):
 
 def test_one_query_for_each_operator():
     named = {q.split("_")[0] for q in QUERIES if q.startswith("op") and q[2].isdigit()}
-    assert named == {f"op{n}" for n in range(1, 11)}
+    assert named == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in QUERIES
-    assert {"op3_line_rules", "op10_mixing"} <= set(SQL)
+    assert {f"op{n}" for n in (3, 10, 11, 12, 13)} <= {q.split("_")[0] for q in SQL}
 
 
 @pytest.mark.parametrize(

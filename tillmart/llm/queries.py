@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.llm import (
+    filter_audit,
     language_id,
     line_rules,
     mixing,
@@ -81,6 +82,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
@@ -103,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_files,
             op9_simhash,
             op10_mixing,
+            op11_filter_audit,
             op12_vector_codes,
             op13_windows,
         )
@@ -113,6 +119,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_rules": line_rules.SQL,
         "op10_mixing": mixing.sql(),
+        "op11_filter_audit": filter_audit.SQL,
         "op12_vector_codes": vector_codes.SQL,
         "op13_windows": word_windows.SQL,
     }

@@ -13,8 +13,8 @@ entries move, the bounds shrink by the way moved. Then, part by part:
   integers, ties going to the lower index.
 * It is not below the outer bound either: all entries are compared and the part gets new neighbours.
 
-Bounds are rounded down, so a tie or a near tie is always verified. ``b`` is adapted after each round
-to what nearly all parts needed of it, and never grows.
+Bounds are rounded down, so a tie or a near tie is always verified. ``b`` is adapted after each round:
+it falls to what nearly all parts needed of it, and stays while many need all entries.
 
 The rows with their bounds are written to the shared folder once a round and the older ones removed.
 Workers add up their parts' sums before the shuffle; the driver holds codebooks, sums and counts of
@@ -140,9 +140,11 @@ class Bounds:
         return Bounds(near, low, outer)
 
     def moved(self, ways: np.ndarray) -> None:
-        """Entries have moved by ``ways``: shrink the bounds."""
+        """Entries have moved by ``ways``: shrink the bounds, the outer one by the longest way outside."""
         self.low = _less(self.low, ways[self.near])
-        self.outer = _less(self.outer, ways.max(initial=0.0))
+        longest = np.argsort(-ways)[: self.near.shape[1] + 1]
+        inside = (self.near[:, None, :] == longest[:, None]).any(2)
+        self.outer = _less(self.outer, ways[longest[inside.argmin(1)]])
 
     def cut(self, b: int) -> None:
         """Keep ``b`` neighbours; the bounds of the others go into the outer bound."""
@@ -292,12 +294,11 @@ def _needs(state: DataFrame, b: int) -> list[int]:
 
 
 def _enough(counts: list[int], b: int) -> int:
-    """The fewest neighbours that would have settled ``SUFFICES`` of what ``b`` have settled."""
-    settled = sum(counts[: b + 1])
+    """The fewest neighbours that would have settled ``SUFFICES`` of all parts, ``b`` if none do."""
     held = 0
     for m in range(1, b + 1):
         held += counts[m]
-        if held >= SUFFICES * settled:
+        if held >= SUFFICES * sum(counts):
             return max(2, m)
     return b
 
