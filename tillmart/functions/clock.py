@@ -21,39 +21,75 @@ SECOND_AND_MORE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 _BLANK = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
 
-def _digits(text: Column) -> Column:
-    """Hour, minute and second of a clock as six digits."""
-    return F.rpad(F.regexp_replace(F.regexp_replace(text, r"[.,].*", ""), r"\D", ""), 6, "0")
+#: Shapes that sources write as a rule, digits as zeros: local, UTC, with an offset.
+_SHAPE = ("0000-00-00T00:00:00", "0000-00-00 00:00:00")
+_MARK = "\u0001"
 
 
-def kst_timestamp(raw: Column) -> Column:
-    """Parse an ISO-8601 string to KST seconds; null when it cannot be read.
+def _usual(raw: Column) -> Column:
+    """Times in one of the usual shapes, cut by place; null for any other."""
+    shape = F.translate(raw, "123456789", "000000000")
+    wall = F.substring(raw, 1, 19).try_cast("timestamp_ntz")
+    hours, minutes = (F.substring(raw, at, 2).cast("int") for at in (21, 24))
+    east = (hours * 3600 + minutes * 60) * F.when(F.substring(raw, 20, 1) == "-", -1).otherwise(1)
+    size = F.length(raw)
+    offset = [s + sign + "00:00" for s in _SHAPE for sign in "+-"]
+    return (
+        F.when((size == 19) & shape.isin(*_SHAPE), wall)
+        .when(
+            (size == 20) & shape.isin(*[s + "Z" for s in _SHAPE]),
+            F.timestamp_add("SECOND", F.lit(KST_OFFSET_SECONDS), wall),
+        )
+        .when(
+            (size == 25) & shape.isin(*offset),
+            F.when(
+                (hours < 24) & (minutes < 60),
+                F.timestamp_add("SECOND", KST_OFFSET_SECONDS - east, wall),
+            ),
+        )
+    )
 
-    Strings with ``Z`` or an offset are converted, strings without one are KST already. Of a
-    string that is not ISO 8601 but begins with a full second, the rest is ignored.
-    """
+
+def _clock(text: Column) -> Column:
+    """Hour, minute and second of a clock as ``hh:mm:ss``, whatever it leaves out."""
+    whole = F.split_part(F.split_part(text, F.lit("."), F.lit(1)), F.lit(","), F.lit(1))
+    digits = F.rpad(F.translate(whole, ":+-Z", ""), 6, "0")
+    return F.regexp_replace(digits, r"^(..)(..)(..)$", "$1:$2:$3")
+
+
+def _any_form(raw: Column) -> Column:
+    # Each step uses the one before it once: Spark shares nothing inside a branch.
     text = F.regexp_replace(raw, _BLANK, "")
-    part = lambda n: F.regexp_extract(text, ISO, n)
-    day, time, offset = F.replace(part(1), F.lit("-"), F.lit("")), _digits(part(2)), part(3)
-    cut = lambda of, at, n: F.substring(of, at, n)
-    wall = F.concat(
-        cut(day, 1, 4), F.lit("-"), cut(day, 5, 2), F.lit("-"), cut(day, 7, 2), F.lit(" "),
-        cut(time, 1, 2), F.lit(":"), cut(time, 3, 2), F.lit(":"), cut(time, 5, 2),
-    ).try_cast("timestamp_ntz")
-    ahead = _digits(offset)
-    hours, minutes, seconds = (cut(ahead, n, 2).cast("int") for n in (1, 3, 5))
-    east = (hours * 3600 + minutes * 60 + seconds) * F.when(offset.startswith("-"), -1).otherwise(1)
-    zoned = F.when(
-        (hours < 24) & (minutes < 60) & (seconds < 60),
-        F.timestamp_add("SECOND", KST_OFFSET_SECONDS - east, wall),
-    )
+    # One pass of the pattern: what matches begins with a mark and has marks between its parts.
+    marked = F.regexp_replace(text, ISO, f"{_MARK}$1{_MARK}$2{_MARK}$3")
+    part = lambda n: F.split_part(marked, F.lit(_MARK), F.lit(n + 1))
+    day = F.regexp_replace(part(1), r"^(\d{4})-?(\d\d)-?(\d\d)$", "$1-$2-$3 ")
+    wall = F.concat(day, _clock(part(2))).try_cast("timestamp_ntz")
+    offset = part(3)
+    east = F.concat(F.substring(offset, 1, 1), _clock(offset)).try_cast("interval hour to second")
+    ahead = F.make_dt_interval(hours=F.lit(9)) - east
+    zoned = F.when(~offset.rlike("^.(2[4-9]|[3-9])"), wall + ahead)
+    utc = wall + F.make_dt_interval(hours=F.lit(9))
     begun = F.substring(raw, 1, 19).try_cast("timestamp_ntz")
     return F.coalesce(
-        F.when(text.rlike(ISO), F.when(offset == "", wall).otherwise(zoned)),
+        F.when(
+            marked.startswith(_MARK),
+            F.when(offset == "", wall).when(offset == "Z", utc).otherwise(zoned),
+        ),
         F.when(raw.rlike(SECOND_AND_MORE), begun),
     )
 
 
+def kst_timestamp(raw: Column) -> Column:
+    """Parse an ISO-8601 string to KST seconds; null when it cannot be read.
+
+    Strings with ``Z`` or an offset are converted, strings without one are KST already. Of a
+    string that is not ISO 8601 but begins with a full second, the rest is ignored. The pattern is
+    tried only on what is in none of the usual shapes.
+    """
+    return F.coalesce(_usual(raw), _any_form(raw))
+
+
 def whole_second(at: Column) -> Column:
     """Cut a TIMESTAMP_NTZ to the second."""
     micros = (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("int") % 1_000_000

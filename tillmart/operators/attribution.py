@@ -55,6 +55,33 @@ def last_touch(logs: DataFrame) -> DataFrame:
     )
 
 
+def session_touches(logs: DataFrame) -> DataFrame:
+    """First event of each session and day; mergeable, so a day's rows serve until the day changes."""
+    touch = F.min(F.struct("event_at", "log_id", "utm_source"))
+    return logs.groupBy("session_id", "event_date").agg(touch.alias("touch"))
+
+
+def user_touches(logs: DataFrame) -> DataFrame:
+    """Last event of each known user and day."""
+    touch = F.max(F.struct("event_at", "log_id", "utm_source"))
+    known = logs.where(F.col("user_id").isNotNull())
+    return known.groupBy("user_id", "event_date").agg(touch.alias("touch"))
+
+
+def _source(touch: Column) -> Column:
+    return F.coalesce(touch["utm_source"], F.lit(DIRECT)).alias("utm_source")
+
+
+def first_of(days: DataFrame) -> DataFrame:
+    """``first_touch`` from ``session_touches`` of all days."""
+    return days.groupBy("session_id").agg(F.min("touch").alias("t")).select("session_id", _source(F.col("t")))
+
+
+def last_of(days: DataFrame) -> DataFrame:
+    """``last_touch`` from ``user_touches`` of all days."""
+    return days.groupBy("user_id").agg(F.max("touch").alias("t")).select("user_id", _source(F.col("t")))
+
+
 def add_platform(rows: DataFrame, platforms: DataFrame) -> DataFrame:
     """Platform of the user; the default one for guests and users without orders."""
     return lookup(rows, platforms, "user_id", spread_by="session_id").withColumn(

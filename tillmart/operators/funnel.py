@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +23,19 @@ EVENT_COUNTS = {
 }
 
 
+class Touches(NamedTuple):
+    """Source of each session's first event and of each user's last one, over all history."""
+
+    first: DataFrame
+    last: DataFrame
+
+
 def funnel_counts(
     logs: DataFrame,
     orders: DataFrame,
     window: tuple[date, date] | None = None,
     status: str | None = "PAID",
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct sessions and the four event counts per date, platform and source.
 
@@ -47,7 +56,9 @@ def funnel_counts(
         .agg(*[F.sum(c).alias(c) for c in counts])
     )
     return (
-        attribution.add_first_touch(per_session_day, attribution.first_touch(logs))
+        attribution.add_first_touch(
+            per_session_day, attribution.first_touch(logs) if first is None else first
+        )
         .groupBy(*KEYS)
         .agg(F.count("*").alias("total_visitors"), *[F.sum(c).alias(c) for c in counts])
     )
@@ -58,6 +69,7 @@ def confirmed_purchases(
     logs: DataFrame,
     window: tuple[date, date] | None = None,
     status: str | None = "PAID",
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Orders per date, platform and last-touch source of the buyer.
 
@@ -71,7 +83,7 @@ def confirmed_purchases(
         .agg(F.count("*").alias("n"))
     )
     return (
-        per_user.join(attribution.last_touch(logs), "user_id", "left")
+        per_user.join(attribution.last_touch(logs) if last is None else last, "user_id", "left")
         .withColumn("utm_source", F.coalesce("utm_source", F.lit(DIRECT)))
         .groupBy(*KEYS)
         .agg(F.sum("n").alias("purchase_from_orders"))
@@ -83,14 +95,17 @@ def funnel_daily(
     logs: DataFrame,
     window: tuple[date, date] | None = None,
     status: str | None = "PAID",
+    touches: Touches | None = None,
 ) -> DataFrame:
     """The funnel mart: the larger of logged and confirmed purchases, and the capped rate.
 
-    Groups without events do not appear, even when they have orders.
+    Groups without events do not appear, even when they have orders. With ``touches`` the logs are
+    read for the window alone.
     """
+    first, last = touches or (None, None)
     from_orders = F.coalesce("purchase_from_orders", F.lit(0))
-    joined = funnel_counts(logs, orders, window, status).join(
-        confirmed_purchases(orders, logs, window, status), list(KEYS), "left"
+    joined = funnel_counts(logs, orders, window, status, first).join(
+        confirmed_purchases(orders, logs, window, status, last), list(KEYS), "left"
     )
     return joined.withColumn(
         "purchase_completed_count", F.greatest(from_orders, F.col("purchase_from_logs"))

@@ -467,6 +467,26 @@ SELECT 'rfm' AS mart, * FROM ({_rules('rfm', RFM_RULES)})""",
     "dq_orphan_raw": f"""WITH {VERSIONS}
 SELECT raw_id, order_id, batch_date FROM latest WHERE raw_id NOT IN
   (SELECT raw_id FROM std WHERE batch_date >= DATE '2024-01-05')""",
+    "dq_raw": f"""WITH {RAW}
+SELECT raw_id, CASE WHEN ingest_seq % 97 = 0 THEN 'fax' ELSE source_api END AS source_api,
+  CASE WHEN ingest_seq % 97 <> 0 THEN 'payload_json missing' WHEN ingest_seq % 89 <> 0 THEN 'source_api unknown'
+    ELSE 'payload_json missing, source_api unknown' END AS violations
+FROM raw WHERE ingest_seq % 97 = 0 OR ingest_seq % 89 = 0""",
+    "dq_table_keys": f"""{FUNNEL}
+SELECT 'orders' AS table_name, order_id AS key, 2 AS copies FROM ords WHERE CAST(order_id AS BIGINT) % 97 = 0
+UNION ALL SELECT 'logs', log_id, 2 FROM logs WHERE CAST(log_id AS BIGINT) % 97 = 0
+UNION ALL SELECT 'funnel', CAST(base_date AS VARCHAR) || '|' || platform || '|' || utm_source, 2 FROM funnel
+WHERE total_visitors % 2 = 0
+UNION ALL SELECT DISTINCT 'rfm', user_id, 2 FROM ords WHERE order_status = 'PAID' AND CAST(user_id AS BIGINT) % 97 = 0""",
+    "raw_files": f"WITH {RAW} SELECT batch_date, source_api, payload_json FROM raw",
+    "landing_stats": f"""WITH {VERSIONS},
+sent AS (SELECT *, CAST(order_id AS BIGINT) AS k, batch_date < DATE '2024-01-16' AS early FROM versions)
+SELECT CASE WHEN early THEN 'early' ELSE 'late' END AS fetch, COUNT(*) FILTER (k % 97 <> 0) AS n_rows,
+  COUNT(*) FILTER (k % 97 = 0) AS rejected,
+  COUNT(*) FILTER (sent_status = 'CANCELLED' AND k % 5 <> 0) AS cancelled,
+  COUNT(*) FILTER (sent_status = 'CANCELLED' AND k % 5 = 0) AS refunded FROM sent GROUP BY early""",
+    "warehouse_funnel": f"""WITH {VERSIONS}, staged AS (SELECT * FROM latest WHERE product_id IS NOT NULL),
+{LOGS},{FIRST_TOUCH},{LAST_TOUCH},{_funnel().replace('ords', 'staged')} SELECT {SHOWN} FROM funnel""",
     "dq_volume": f"""WITH {LOGS}
 SELECT COUNT(*) AS log_records, CAST(1000 AS BIGINT) AS floor, COUNT(*) >= 1000 AS enough FROM logs""",
 }

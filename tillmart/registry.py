@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tillmart.functions import clock, money
 from tillmart.operators import attribution, collection, funnel, keyed, quality, rfm, standardize
 from tillmart.plans import marts, reports, staging
+from tillmart.plans.warehouse import Warehouse
 from tillmart.schemas import FUNNEL_MART, ORDER_LOOKBACK_DAYS, STAGED_LOGS, STAGED_ORDERS
 from tillmart.sources import raw_zone, star_tables
 from tillmart.sources.day_table import DayTable
@@ -85,6 +87,48 @@ def raw_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.select("raw_id", "source_api", "batch_date", "payload_json")
 
 
+@query
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as they lie in the landed JSON files."""
+    root = new_folder(spark, "raw-files")
+    raw_zone.land(star_tables.raw_orders(spark, sf_dir), f"{root}/table", f"{root}/json")
+    return spark.read.text(f"{root}/json").select(
+        F.col("batch_date").cast("date").alias("batch_date"), "source_api", F.col("value").alias("payload_json")
+    )
+
+
+@query
+def landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fetches: rows landed and rejected, orders cancelled and refunded (some made so first)."""
+    house = Warehouse(spark, new_folder(spark, "landing"))
+    refunded = F.replace("payload_json", F.lit('"CANCELLED"'), F.lit('"REFUNDED"'))
+    raw = star_tables.raw_orders(spark, sf_dir).withColumns(
+        {
+            "payload_json": F.when(F.col("ingest_seq") % 5 == 0, refunded).otherwise(F.col("payload_json")),
+            "source_api": F.when(F.col("ingest_seq") % 97 != 0, F.col("source_api")),
+        }
+    )
+    early = F.col("batch_date") < F.lit(SECOND_LOAD_FROM)
+    fetches = [("early", raw.where(early)), ("late", raw.where(~early))]
+    landed = [(name, house.land(rows, None, on_reject="quarantine")[0]) for name, rows in fetches]
+    return spark.createDataFrame(
+        [(name, x.rows, x.rejected, x.cancelled, x.refunded) for name, x in landed],
+        "fetch string, n_rows bigint, rejected bigint, cancelled bigint, refunded bigint",
+    )
+
+
+@query
+def warehouse_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel mart as two whole runs leave it; the second refreshes only what it changed."""
+    house = Warehouse(spark, new_folder(spark, "house"))
+    early = F.col("batch_date") < F.lit(SECOND_LOAD_FROM)
+    orders, logs = star_tables.raw_orders(spark, sf_dir), star_tables.raw_sessions(spark, sf_dir)
+    dates = [date.fromordinal(date(2024, 1, 1).toordinal() + n) for n in range(33)]
+    for part, run_dates in ((early, dates[:15]), (~early, dates)):
+        house.run(run_dates, date(2024, 2, 3), orders.where(part), logs.where(part))
+    return _shown(house.funnel.read().drop("refreshed_at"))
+
+
 @query
 def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plan of every batch date as run date, with the number of raw orders and payloads to read."""
@@ -128,7 +172,7 @@ def std_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def std_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event time written in six ways and read back."""
-    logs = star_tables.logs(spark, sf_dir, valid_only=False)
+    logs = star_tables.logs(spark, sf_dir, as_sent=True)
     wall = F.replace(F.col("event_at").cast("string"), F.lit(" "), F.lit("T"))
     forms = {
         "naive": wall,
@@ -138,8 +182,9 @@ def std_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fraction": F.concat(wall, F.lit(".987654+09:00")),
         "junk": F.concat(wall, F.lit(" (local)")),
     }
-    read = {name: clock.kst_timestamp(text) for name, text in forms.items()}
-    return logs.select(
+    written = logs.select("log_id", *[text.alias(name) for name, text in forms.items()])
+    read = {name: clock.kst_timestamp(F.col(name)) for name in forms}
+    return written.select(
         "log_id",
         *[at.alias(name) for name, at in read.items()],
         clock.kst_text(read["zulu"]).alias("zulu_text"),
@@ -181,6 +226,12 @@ def std_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- staging writes ----------------------------------------------------------------------
 
 
+def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs that keep the rules of staging."""
+    flagged = quality.with_violations(star_tables.logs(spark, sf_dir), quality.log_rules())
+    return quality.clean(flagged)
+
+
 def _order_loads(
     spark: SparkSession, sf_dir: str
 ) -> tuple[DayTable, list[tuple[str, staging.LoadStats]]]:
@@ -217,7 +268,7 @@ def upsert_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def logs_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs of the first twenty days are in staging; a load of the last twenty comes in."""
-    logs = star_tables.logs(spark, sf_dir)
+    logs = _logs(spark, sf_dir)
     existing = logs.where(F.col("event_date") <= F.lit(date(2024, 1, 20)))
     batch = logs.where(F.col("event_date") >= F.lit(date(2024, 1, 11)))
     new = keyed.unseen(keyed.first_logs(batch), existing, "log_id")
@@ -243,7 +294,7 @@ def upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logs_drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop the run date from a staging table; what is left per day, and the count dropped."""
     table = DayTable(spark, new_folder(spark, "stg-logs"), STAGED_LOGS, "event_date")
-    table.add(star_tables.logs(spark, sf_dir))
+    table.add(_logs(spark, sf_dir))
     dropped = table.drop_day(RUN_DATE)
     return (
         table.read()
@@ -287,38 +338,38 @@ def user_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def first_touch_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attribution.first_touch(star_tables.logs(spark, sf_dir))
+    return attribution.first_touch(_logs(spark, sf_dir))
 
 
 @query
 def last_touch_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attribution.last_touch(star_tables.logs(spark, sf_dir))
+    return attribution.last_touch(_logs(spark, sf_dir))
 
 
 @query
 def enriched_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.enriched_logs(
-        star_tables.logs(spark, sf_dir), star_tables.orders(spark, sf_dir), WINDOW
+        _logs(spark, sf_dir), star_tables.orders(spark, sf_dir), WINDOW
     )
 
 
 @query
 def funnel_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel.funnel_counts(
-        star_tables.logs(spark, sf_dir), star_tables.orders(spark, sf_dir), WINDOW
+        _logs(spark, sf_dir), star_tables.orders(spark, sf_dir), WINDOW
     )
 
 
 @query
 def order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel.confirmed_purchases(
-        star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir), WINDOW
+        star_tables.orders(spark, sf_dir), _logs(spark, sf_dir), WINDOW
     )
 
 
 def _funnel(spark: SparkSession, sf_dir: str, window: tuple[date, date] | None = None) -> DataFrame:
     return funnel.funnel_daily(
-        star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir), window
+        star_tables.orders(spark, sf_dir), _logs(spark, sf_dir), window
     )
 
 
@@ -342,7 +393,7 @@ def funnel_daily_all_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older form of the mart: no date window and no status filter."""
     return _shown(
         funnel.funnel_daily(
-            star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir), None, status=None
+            star_tables.orders(spark, sf_dir), _logs(spark, sf_dir), None, status=None
         )
     )
 
@@ -350,7 +401,7 @@ def funnel_daily_all_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def funnel_window_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart built from all statuses, then refreshed with paid orders for the window only."""
-    orders, logs = star_tables.orders(spark, sf_dir), star_tables.logs(spark, sf_dir)
+    orders, logs = star_tables.orders(spark, sf_dir), _logs(spark, sf_dir)
     mart = DayTable(spark, new_folder(spark, "funnel"), FUNNEL_MART, "base_date")
     first = funnel.funnel_daily(orders, logs, None, status=None)
     mart.replace_all(first.withColumn("refreshed_at", F.current_timestamp()))
@@ -456,7 +507,7 @@ def _zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "raw_ecommerce_orders": star_tables.raw_orders(spark, sf_dir),
             "raw_user_behavior_logs": star_tables.raw_sessions(spark, sf_dir),
             "stg_ecommerce_orders": star_tables.orders(spark, sf_dir),
-            "stg_user_behavior_logs": star_tables.logs(spark, sf_dir),
+            "stg_user_behavior_logs": _logs(spark, sf_dir),
             "mart_user_funnel_daily": _funnel(spark, sf_dir),
             "mart_user_rfm_scores": rfm.rfm_base(star_tables.orders(spark, sf_dir), AS_OF),
         }
@@ -475,7 +526,7 @@ def zone_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.freshness(star_tables.logs(spark, sf_dir), star_tables.orders(spark, sf_dir))
+    return reports.freshness(_logs(spark, sf_dir), star_tables.orders(spark, sf_dir))
 
 
 @query
@@ -513,7 +564,7 @@ def dq_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rule_counts(
-        star_tables.logs(spark, sf_dir, valid_only=False), quality.log_rules()
+        star_tables.logs(spark, sf_dir, as_sent=True), quality.log_rules()
     )
 
 
@@ -567,6 +618,46 @@ def dq_orphan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphans(staged, raw.where(F.col("batch_date") >= F.lit(RAW_KEPT_FROM)))
 
 
+@query
+def dq_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders that the landing put aside, of two fetches of the same rows.
+
+    Some come from a source nobody knows, some without a payload.
+    """
+    house = Warehouse(spark, new_folder(spark, "raw-rules"))
+    raw = star_tables.raw_orders(spark, sf_dir).withColumns(
+        {
+            "source_api": F.when(F.col("ingest_seq") % 97 == 0, "fax").otherwise(F.col("source_api")),
+            "payload_json": F.when(F.col("ingest_seq") % 89 != 0, F.col("payload_json")),
+        }
+    )
+    for _ in range(2):
+        house.land(raw, None, on_reject="quarantine")
+    bad = spark.read.parquet(f"{house.root}/quarantine/raw_ecommerce_orders")
+    return bad.select("raw_id", "source_api", F.array_join("violations", ", ").alias("violations"))
+
+
+@query
+def dq_table_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that occur more than once in each table, some of whose rows are doubled first."""
+    number = F.col("user_id").cast("bigint")
+    tables = (
+        ("orders", star_tables.orders(spark, sf_dir), F.col("order_id").cast("bigint") % 97 == 0, ["order_id"]),
+        ("logs", _logs(spark, sf_dir), F.col("log_id").cast("bigint") % 97 == 0, ["log_id"]),
+        ("funnel", _funnel(spark, sf_dir), F.col("total_visitors") % 2 == 0, list(funnel.KEYS)),
+        ("rfm", rfm.rfm_base(star_tables.orders(spark, sf_dir), AS_OF), number % 97 == 0, ["user_id"]),
+    )
+    found = [
+        quality.duplicate_keys(rows.unionByName(rows.where(again)), *key).select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *[F.col(k).cast("string") for k in key]).alias("key"),
+            "copies",
+        )
+        for name, rows, again, key in tables
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def dq_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.volume(star_tables.logs(spark, sf_dir))
+    return quality.volume(_logs(spark, sf_dir))

@@ -62,6 +62,10 @@ STAGED_LOGS = (
     "event_pos int, loaded_at timestamp, event_date date"
 )
 
+_TOUCH = "touch struct<event_at: timestamp_ntz, log_id: string, utm_source: string>"
+SESSION_TOUCHES = f"session_id string, {_TOUCH}, event_date date"
+USER_TOUCHES = f"user_id string, {_TOUCH}, event_date date"
+
 FUNNEL_MART = (
     "platform string, utm_source string, total_visitors bigint, product_views bigint, "
     "add_to_cart_count bigint, checkout_started_count bigint, purchase_completed_count bigint, "

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.operators import quality
 from tillmart.schemas import RAW_ROWS
 
 RAW_PARTITIONS = ("batch_date", "source_api")
@@ -64,6 +65,31 @@ def land(rows: DataFrame, table: str, json_folder: str | None = None) -> None:
         )
 
 
+def observed(rows: DataFrame, rules: quality.Rules) -> tuple[DataFrame, Observation]:
+    """``rows`` flagged by the raw rules, counted by whatever writes them.
+
+    ``n``, ``bad``, and ``cancelled`` and ``refunded`` among the payloads of order feeds.
+    """
+    status = F.coalesce(
+        F.get_json_object("payload_json", "$.orderStatus"), F.get_json_object("payload_json", "$.OrderStatus")
+    )
+    seen = Observation()
+    flagged = quality.with_violations(rows, rules).observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.size("violations") > 0).alias("bad"),
+        F.count_if(status == "CANCELLED").alias("cancelled"),
+        F.count_if(status == "REFUNDED").alias("refunded"),
+    )
+    return flagged, seen
+
+
+def content_key(rows: DataFrame) -> Column:
+    """Hash of all that a raw row holds, apart from when it was fetched."""
+    fields = ("raw_id", "source_api", "batch_date", "payload_json")
+    return F.sha2(F.to_json(F.struct(*fields)), 256)
+
+
 def scan(spark: SparkSession, table: str, batch_dates: Iterable[date] | None = None) -> DataFrame:
     """Raw rows of some batch dates; only their folders are read."""
     rows = spark.read.schema(RAW_ROWS).parquet(table)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -49,8 +49,16 @@ def _write(frame: DataFrame, path: str) -> DataFrame:
 
 def existing_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """What lies under ``path``, or None if there is no such folder."""
+    return _existing(spark.read.schema(schema).parquet, path)
+
+
+def existing_json(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    return _existing(spark.read.schema(schema).json, path)
+
+
+def _existing(read: Callable[[str], DataFrame], path: str) -> DataFrame | None:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return read(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

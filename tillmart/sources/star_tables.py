@@ -49,19 +49,16 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logs(spark: SparkSession, sf_dir: str, valid_only: bool = True) -> DataFrame:
-    """Staging-shaped logs; ``valid_only`` leaves out events with a name staging rejects."""
-    rows = _events(spark, sf_dir)
-    if valid_only:
-        rows = rows.where(F.col("event_name") != "error")
-    return rows.select(
+def logs(spark: SparkSession, sf_dir: str, as_sent: bool = False) -> DataFrame:
+    """Staging-shaped logs, those with a name staging rejects too; ``as_sent`` keeps odd devices."""
+    return _events(spark, sf_dir).select(
         "log_id",
         "session_id",
         "user_id",
         "event_name",
         F.coalesce("source", F.lit(DIRECT)).alias("utm_source"),
         F.coalesce("medium", F.lit(NO_MEDIUM)).alias("utm_medium"),
-        (device(F.col("device")) if valid_only else F.col("device")).alias("device_type"),
+        (F.col("device") if as_sent else device(F.col("device"))).alias("device_type"),
         "event_at",
         F.lit(None).cast("string").alias("raw_id"),
         F.col("event_date").alias("batch_date"),

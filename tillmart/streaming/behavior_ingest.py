@@ -27,8 +27,7 @@ def ingest_stream(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        target = DayTable(batch.sparkSession, table.root, table.schema, table.day, table.rules)
-        insert_logs(target, batch, quarantine)
+        insert_logs(table.of(batch.sparkSession), batch, quarantine)
 
     raw = (
         spark.readStream.schema(RAW_ROWS)
