@@ -59,7 +59,8 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def simhash(rows):
+def groups(rows):
+    """Component of every row, as the number of its first row."""
     prints = [fingerprint(t) for _, t in rows]
     links = [
         (i, j)
@@ -67,7 +68,12 @@ def simhash(rows):
         for j in range(i)
         if (prints[i] ^ prints[j]).bit_count() <= 4
     ]
-    found = smallest_ids(roots(len(rows), links), [d for d, _ in rows])
+    return roots(len(rows), links)
+
+
+def simhash(rows):
+    prints = [fingerprint(t) for _, t in rows]
+    found = smallest_ids(groups(rows), [d for d, _ in rows])
     return [
         (d, format(p, "016x"), c) for (d, _), p, c in zip(rows, prints, found, strict=True)
     ]

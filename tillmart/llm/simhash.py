@@ -153,10 +153,8 @@ def _links(classes: DataFrame) -> DataFrame:
     )
 
 
-def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every document; (fp, root, component_id) of every distinct fingerprint."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = stored(_with_prints(rows, ["doc_id"]), "fingerprints")
+def _labels(prints: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(_links(classes))
     labelled = classes.join(roots, classes["fp"] == roots["node"], "left").select(
@@ -164,31 +162,34 @@ def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = labelled.join(smallest, "root").select("fp", "root", "component_id")
-    return prints, stored(labels, "labels")
+    return stored(labels, "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, fingerprint (hex), component_id."""
-    prints, labels = _joined(docs)
-    return prints.join(labels, "fp").select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    prints = stored(_with_prints(rows, ["doc_id"]), "fingerprints")
+    return prints.join(_labels(prints), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component: that with the smallest doc_id.
+    """One row of ``docs`` for each component: one with the smallest doc_id.
 
-    If several rows have that doc_id, one of them. A component without any doc_id keeps one row.
+    Chosen by row, so texts that share a doc_id stand for their own components. A component without
+    any doc_id keeps one row.
     """
-    prints, labels = _joined(docs)
-    ids = prints.join(labels, "fp").where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    rows = docs.where("doc_id IS NULL").select(
-        *(F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)), "text"
-    )
-    nameless = _with_prints(rows, names).join(labels.where("component_id IS NULL"), "fp")
-    nameless = nameless.dropDuplicates(["root"]).select(
-        *(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True))
+    rows = docs.select(
+        *(F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").alias("text"),
     )
-    return named.select(*docs.columns).unionByName(nameless)
+    rows = _with_prints(rows, [*names, "doc_id"]).withColumn("_row", F.monotonically_increasing_id())
+    rows = stored(rows, "fingerprints")
+    labelled = rows.select("doc_id", "fp", "_row").join(_labels(rows.select("doc_id", "fp")), "fp")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best")
+    chosen = labelled.groupBy("root").agg(best).select(F.col("best._row").alias("_row"))
+    kept = rows.join(chosen, "_row", "left_semi")
+    return kept.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
