@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import line_rules, mixing, near_copies, packing, repeats
+from tillmart.llm import line_rules, mixing, packing, repeats, simhash
 from tillmart.llm.queries import END_ID, table, vocabulary
 from tillmart.sources.shared import stored
 
@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group alike in five-word shingles, that with the smallest doc_id."""
-    return near_copies.kept_documents(docs)
+    """One document of each group of SimHash near-duplicates, one with the smallest doc_id."""
+    return simhash.kept_documents(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("sequences", sequences),
 ]
 
-#: SQL expresses neither MinHash by XXH64 nor the tokenizer.
+#: SQL expresses neither XXH64 nor the tokenizer.
 ORACLE_SQL = None
 
 
