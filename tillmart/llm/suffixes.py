@@ -14,6 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
+#: Bytes of suffixes that are laid out at once.
+CELLS = 1 << 20
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -120,9 +123,12 @@ class Strings:
         width = -(-int(rest.max()) // 8) * 8
         at = self.begin[owner[suffix]] + start[suffix] + least
         where = np.arange(width)
-        inside = where < rest[:, None]
-        after = self.raw[np.where(inside, at[:, None] + where, 0)] if width else inside
-        after = np.where(inside, after, 0).astype(np.uint8)
+        after = np.zeros((len(suffix), width), np.uint8)
+        step = max(1, CELLS // max(width, 1))
+        for i in range(0, len(suffix) if width else 0, step):
+            rows = slice(i, i + step)
+            inside = where < rest[rows, None]
+            after[rows][inside] = self.raw[(at[rows, None] + where)[inside]]
         words = np.ascontiguousarray(after).view(">u8") if width else after
         order = np.lexsort((rest, *(words[:, i] for i in reversed(range(words.shape[1]))), group))
         suffix, group, rest, after = suffix[order], group[order], rest[order], after[order]
