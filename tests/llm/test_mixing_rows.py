@@ -1,4 +1,4 @@
-"""Draws of the pipeline's mix where doc_ids are null or repeated."""
+"""Draws of the mix where doc_ids are null or repeated, rates are high, or column names clash."""
 
 from conftest import rows
 
@@ -22,8 +22,19 @@ def test_null_and_hot_ids_are_copied_at_their_rate(spark, sf_dir):
         (500, [r for r in found if r.text.startswith("hot") and r.text != "hot"]),
     ):
         assert abs(len(some) - n) < 5 * n**0.5
-    again = mixing.mixed(table.repartition(7), by_row=True)
+    again = mixing.mixed(table.repartition(7))
     columns = (*table.columns, "copy", "shuffle_key")
-    assert rows(again, *columns) == rows(mixing.mixed(table, by_row=True), *columns)
+    assert rows(again, *columns) == rows(mixing.mixed(table), *columns)
     keys = [r.shuffle_key for r in again.select("shuffle_key").collect()]
     assert len(set(keys)) == len(keys)
+
+
+def test_high_rates_and_clashing_names(spark):
+    names = ["_below", "_key", "_u", "_copies", "_source", "_place", "_h", "_at", "_n", "_first", "_row", "copy"]
+    given = [(i, "t", "s", *range(i, i + len(names))) for i in range(3)]
+    schema = f"{SCHEMA}, " + ", ".join(f"{n} int" for n in names)
+    found = mixing.mixed(spark.createDataFrame(given, schema), {"s": 1.0}, total=60000)
+    assert found.columns == ["doc_id", "text", "source", *names[:-1], "copy", "shuffle_key"]
+    got = found.groupBy(*found.columns[:-2]).count().collect()
+    assert {tuple(r)[3:-1] for r in got} == {g[3:-1] for g in given}
+    assert all(abs(r["count"] - 20000) < 5 * 20000**0.5 for r in got)
