@@ -2,9 +2,10 @@
 
 Features are the n-grams of one to three letters within words, word ends marked, hashed into
 ``BUCKETS``. Document frequencies are counted over all documents that may be learned from. The
-weights are fitted by follow-the-regularised-leader with L1 and L2 penalties on a bounded sample,
-``SAMPLE`` documents in all and the same number for each label as far as it has them; a part of the
-sample is set aside to find the temperature that calibrates the scores.
+weights are fitted by follow-the-regularised-leader with L1 and L2 penalties on a bounded sample, at
+most ``SAMPLE`` documents in all (one a label if there are more labels) and the same number for each
+label as far as it has them: those with the smallest hashes of doc_id and text; a part of the sample
+is set aside to find the temperature that calibrates the scores.
 
 Term frequencies are shares of a text's n-grams, so the logits of a text are sums over its words. A
 worker keeps the sums of the words it has met.
@@ -12,7 +13,8 @@ worker keeps the sums of the words it has met.
 What is learned from: rows with a label, a text with a letter, and a doc_id whose crc32 modulo 4 is
 not 2. Defined results: null texts and texts without a letter are ``und`` with score 0; so is all
 if there is nothing to learn from. Null doc_ids are predicted but never learned from. Ties go to the
-label that sorts first. Repeated rows count each. Other columns, ``source`` too, are never read. An
+label that sorts first. Repeated rows count each in
+frequencies and predictions, and are one row of the sample. Other columns, ``source`` too, are never read. An
 empty table gives no rows.
 """
 
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.llm.arrow import slices, utf8
@@ -241,6 +243,22 @@ def _rest(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
+def _sample(learn: DataFrame, sizes: dict[str, tuple[int, float]], size: int = 0) -> DataFrame:
+    """The rows of ``learn`` (lang, text, drawn) with the smallest numbers, at most ``size`` in all.
+
+    Every label has the same share, at least one row. ``sizes`` holds each label's rows and smallest
+    number. Rows above four shares' worth of numbers are passed over before anything is shuffled, and
+    equal rows become one, so a label or doc_id with a third of all rows sends no more than another.
+    """
+    share = max((size or SAMPLE) // len(sizes), 1)
+    upto = {s: max(min(1.0, 4 * share / n), low) for s, (n, low) in sizes.items()}
+    some = F.create_map(*(F.lit(x) for s, cut in upto.items() for x in (s, cut)))
+    near = learn.where(F.col("drawn") <= some[F.col("lang")]).select("lang", "drawn", "text")
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("drawn"))
+    near = near.dropDuplicates(["lang", "drawn"])
+    return near.withColumn("nth", order).where(F.col("nth") <= share).drop("nth")
+
+
 def train(docs: DataFrame) -> Model | None:
     """Fit on ``docs`` (doc_id, text, lang). The driver sees the counts of the hashed n-grams, one
     for each bucket at most, and the n-gram counts of the sample."""
@@ -285,16 +303,17 @@ def train(docs: DataFrame) -> Model | None:
     counted = learn.select("text").mapInArrow(frequencies, "bucket long, df long")
     df = dict(counted.groupBy("bucket").agg(F.sum("df")).collect())
     total = df.pop(-1, 0)
-    sizes = dict(learn.groupBy("lang").count().collect())
+    # A number for each row that differs in doc_id or text; equal rows share it.
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    learn = learn.withColumn("drawn", drawn)
+    by_label = learn.groupBy("lang").agg(F.count("*").alias("n"), F.min("drawn").alias("low"))
+    sizes = {r.lang: (r.n, r.low) for r in by_label.collect()}
     if not total or not df:
         return None
     idf = np.zeros(BUCKETS)
     idf[list(df)] = np.log((1 + total) / (1 + np.array(list(df.values())))) + 1
     labels = sorted(sizes)
-    share = SAMPLE / len(labels)
-    part = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    quota = F.create_map(*(F.lit(x) for s in sizes for x in (s, min(1.0, share / sizes[s]))))
-    sample = learn.where(part < quota[F.col("lang")])
+    sample = _sample(learn, sizes)
     found = sample.select("lang", "text").mapInArrow(
         features, "lang string, buckets array<int>, counts array<int>"
     )
