@@ -21,32 +21,43 @@ SECOND_AND_MORE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 _BLANK = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
 
-#: Shapes that sources write as a rule, digits as zeros: local, UTC, with an offset.
+#: A full second as sources write it, and an offset after it, digits as zeros.
 _SHAPE = ("0000-00-00T00:00:00", "0000-00-00 00:00:00")
+_OFFSET = ("+00:00", "-00:00")
+#: What can follow the second in ISO 8601.
+_AFTER = (".", ",", "Z", "+", "-")
+_DIGITS = "0123456789"
 _MARK = "\u0001"
 
 
+def _shape(text: Column) -> Column:
+    return F.translate(text, _DIGITS, "0" * len(_DIGITS))
+
+
 def _usual(raw: Column) -> Column:
-    """Times in one of the usual shapes, cut by place; null for any other."""
-    shape = F.translate(raw, "123456789", "000000000")
-    wall = F.substring(raw, 1, 19).try_cast("timestamp_ntz")
-    hours, minutes = (F.substring(raw, at, 2).cast("int") for at in (21, 24))
-    east = (hours * 3600 + minutes * 60) * F.when(F.substring(raw, 20, 1) == "-", -1).otherwise(1)
-    size = F.length(raw)
-    offset = [s + sign + "00:00" for s in _SHAPE for sign in "+-"]
-    return (
-        F.when((size == 19) & shape.isin(*_SHAPE), wall)
-        .when(
-            (size == 20) & shape.isin(*[s + "Z" for s in _SHAPE]),
-            F.timestamp_add("SECOND", F.lit(KST_OFFSET_SECONDS), wall),
-        )
+    """Times that begin with a full second, cut by place; null where that does not settle them.
+
+    A fraction is passed over; then nothing, ``Z`` or an offset may follow. After a time written with
+    ``T`` all that cannot continue it is ignored.
+    """
+    at = F.substring(raw, 1, 19)
+    wall = at.try_cast("timestamp_ntz")
+    follows, then = F.substring(raw, 20, 1), F.substring(raw, 21, 1)
+    fraction = follows.isin(".", ",") & then.between("0", "9")
+    zone = F.when(fraction, F.ltrim(F.substr(raw, F.lit(21)), F.lit(_DIGITS))).otherwise(
+        F.substr(raw, F.lit(20))
+    )
+    hours, minutes = (F.substring(zone, place, 2).cast("int") for place in (2, 5))
+    east = (hours * 3600 + minutes * 60) * F.when(zone.startswith("-"), -1).otherwise(1)
+    return F.when(
+        _shape(at).isin(*_SHAPE),
+        F.when(zone == "", wall)
+        .when(zone == "Z", F.timestamp_add("SECOND", F.lit(KST_OFFSET_SECONDS), wall))
+        .when((F.substring(raw, 11, 1) == "T") & ~follows.isin(*_AFTER), wall)
         .when(
-            (size == 25) & shape.isin(*offset),
-            F.when(
-                (hours < 24) & (minutes < 60),
-                F.timestamp_add("SECOND", KST_OFFSET_SECONDS - east, wall),
-            ),
-        )
+            _shape(zone).isin(*_OFFSET) & (hours < 24) & (minutes < 60),
+            F.timestamp_add("SECOND", KST_OFFSET_SECONDS - east, wall),
+        ),
     )
 
 
@@ -85,7 +96,7 @@ def kst_timestamp(raw: Column) -> Column:
 
     Strings with ``Z`` or an offset are converted, strings without one are KST already. Of a
     string that is not ISO 8601 but begins with a full second, the rest is ignored. The pattern is
-    tried only on what is in none of the usual shapes.
+    tried only on what is in none of the usual forms.
     """
     return F.coalesce(_usual(raw), _any_form(raw))
 

@@ -306,6 +306,35 @@ SELECT log_id, session_id, user_id, event_name, utm_source, utm_medium,
   CASE WHEN device = 'tv' THEN 'mobile' ELSE device END AS device_type, event_at, event_date,
   's-' || CAST(event_id // 4 AS VARCHAR) AS raw_id FROM ev"""
 
+# Orders with values the test tables never hold, after standardisation.
+ODD_ORDERS = f"""{ORDERS},{ITEMS},
+chosen AS (
+  SELECT *, CAST(order_id AS BIGINT) AS k, platform = 'NAVER' AS naver,
+    CASE k % 6 WHEN 0 THEN 'KRW' WHEN 1 THEN 'usd' WHEN 2 THEN 'JPY' WHEN 3 THEN 'EUR' WHEN 4 THEN 'WONS' END AS sent,
+    CASE k % 11 WHEN 0 THEN -payment_amount WHEN 1 THEN NULL ELSE payment_amount END AS net,
+    CASE k % 13 WHEN 0 THEN -1 WHEN 1 THEN 0 ELSE 2.005 END::DECIMAL(10,3) AS off,
+    CAST(paid_date AS TIMESTAMP) AS d
+  FROM full_ords),
+currencies AS (SELECT *, CASE WHEN naver THEN upper(coalesce(sent, 'KRW')) ELSE sent END AS currency FROM chosen),
+rates AS (SELECT *, {_rate('upper(currency)', 'paid_date')} AS fx_rate,
+  CASE WHEN naver AND currency = 'KRW' THEN 1 ELSE {_rate('upper(currency)', 'paid_date')} END::DECIMAL(10,4) AS times
+  FROM currencies),
+odd AS (
+  SELECT CASE WHEN k % 19 <> 0 THEN order_id END AS order_id,
+    CASE WHEN k % 4 < 2 THEN 'UNKNOWN' ELSE user_id END AS user_id, product_id,
+    CAST(net * times AS DECIMAL(18,2)) AS payment_amount, CAST(off * times AS DECIMAL(18,2)) AS discount_amount,
+    CAST(CASE WHEN naver THEN net ELSE net + off END AS DECIMAL(18,2)) AS amount_before_fx,
+    currency AS currency_code, platform,
+    CASE WHEN k % 23 = 0 THEN NULL WHEN k % 3 = 0 THEN d + INTERVAL 86399 SECOND
+      WHEN k % 3 = 1 THEN d + INTERVAL 1 DAY ELSE d - INTERVAL 1 HOUR END AS paid_at,
+    CASE k % 7 WHEN 1 THEN 'SHIPPED' WHEN 2 THEN 'CANCELLED' WHEN 3 THEN 'REFUNDED' WHEN 4 THEN 'LOST'
+      WHEN 5 THEN NULL ELSE 'PAID' END AS order_status,
+    fx_rate, 'x-' || CAST(k AS VARCHAR) AS raw_id FROM rates)"""
+
+# What a warehouse holds after all raw rows were loaded.
+HOUSE = f"""WITH {VERSIONS}, staged AS (SELECT * FROM latest WHERE product_id IS NOT NULL),
+{LOGS},{FIRST_TOUCH},{LAST_TOUCH},{_funnel().replace('ords', 'staged')}"""
+
 QUERIES: dict[str, str] = {
     "raw_landing": f"WITH {RAW} SELECT raw_id, source_api, batch_date, payload_json, ingest_seq FROM raw",
     "raw_batch_scan": f"WITH {RAW} SELECT raw_id, source_api, batch_date, payload_json FROM raw WHERE batch_date {WINDOW}",
@@ -487,6 +516,49 @@ SELECT CASE WHEN early THEN 'early' ELSE 'late' END AS fetch, COUNT(*) FILTER (k
   COUNT(*) FILTER (sent_status = 'CANCELLED' AND k % 5 = 0) AS refunded FROM sent GROUP BY early""",
     "warehouse_funnel": f"""WITH {VERSIONS}, staged AS (SELECT * FROM latest WHERE product_id IS NOT NULL),
 {LOGS},{FIRST_TOUCH},{LAST_TOUCH},{_funnel().replace('ords', 'staged')} SELECT {SHOWN} FROM funnel""",
+    "std_timestamps_odd": f"""WITH {EVENTS}
+SELECT log_id, event_at AS basic, event_at + INTERVAL 1 HOUR AS basic_offset, event_at + INTERVAL 9 HOUR AS comma,
+  event_at AS padded, date_trunc('minute', event_at) + INTERVAL 9 HOUR AS "minute",
+  event_at + INTERVAL 12 HOUR AS hour_offset, CAST(event_date AS TIMESTAMP) AS date_only,
+  CAST(NULL AS TIMESTAMP) AS spaced_junk, CAST(NULL AS TIMESTAMP) AS no_month FROM ev""",
+    "std_orders_odd": f"WITH {ODD_ORDERS} SELECT {STD_COLUMNS} FROM odd",
+    "dq_orders_odd": f"WITH {ODD_ORDERS} {_rules('odd', ORDER_RULES)}",
+    "dq_marts_odd": f"""{FUNNEL}, {RFM.replace('WITH ', '', 1).replace(ORDERS + ',', '', 1)},
+bad_funnel AS (
+  SELECT * REPLACE (CASE WHEN day(base_date) % 5 <> 0 THEN final_conversion_rate + day(base_date) % 2 END AS final_conversion_rate,
+    CASE day(base_date) % 7 WHEN 0 THEN 'EBAY' WHEN 1 THEN NULL ELSE platform END AS platform,
+    CASE WHEN day(base_date) % 11 <> 0 THEN utm_source END AS utm_source,
+    CASE WHEN day(base_date) % 3 = 0 THEN -product_views ELSE product_views END AS product_views,
+    CASE WHEN day(base_date) % 4 = 0 THEN -total_visitors ELSE total_visitors END AS total_visitors) FROM funnel),
+bad_rfm AS (
+  SELECT * REPLACE (CASE WHEN u % 3 = 0 THEN r_score + 3 ELSE r_score END AS r_score,
+    f_score - CASE WHEN u % 5 = 0 THEN 2 ELSE 0 END AS f_score,
+    CASE u % 7 WHEN 0 THEN 'OTHER' WHEN 1 THEN NULL ELSE segment_name END AS segment_name,
+    CASE WHEN u % 11 = 0 THEN -monetary_amount ELSE monetary_amount END AS monetary_amount,
+    recency_days - CASE WHEN u % 2 = 0 THEN 20 ELSE 0 END AS recency_days)
+  FROM (SELECT *, CAST(user_id AS BIGINT) AS u FROM rfm))
+SELECT 'funnel' AS mart, * FROM ({_rules('bad_funnel', FUNNEL_RULES)}) UNION ALL
+SELECT 'rfm' AS mart, * FROM ({_rules('bad_rfm', RFM_RULES)})""",
+    "warehouse_state": f"""{HOUSE},
+sizes AS (
+  SELECT 'raw_ecommerce_orders' AS name, COUNT(*) AS n FROM versions UNION ALL
+  SELECT 'raw_user_behavior_logs', (SELECT COUNT(DISTINCT event_id // 4) FROM ev) + (SELECT COUNT(*) FROM customer) UNION ALL
+  SELECT 'stg_ecommerce_orders', COUNT(*) FROM staged UNION ALL
+  SELECT 'stg_user_behavior_logs', COUNT(*) FROM logs UNION ALL
+  SELECT 'mart_user_funnel_daily', COUNT(*) FROM funnel UNION ALL
+  SELECT 'mart_user_rfm_scores', COUNT(DISTINCT user_id) FROM staged WHERE order_status = 'PAID'),
+newest AS (SELECT MAX(event_at) AS latest FROM logs UNION ALL SELECT MAX(paid_at) FROM staged)
+SELECT name, CAST(n AS VARCHAR) AS value FROM sizes UNION ALL
+SELECT 'last_updated', strftime(MAX(latest), '%Y-%m-%d %H:%M:%S') FROM newest UNION ALL
+SELECT 'healthy', CASE WHEN MIN(n) > 0 THEN 'true' ELSE 'false' END FROM sizes
+WHERE name IN ('raw_user_behavior_logs', 'stg_user_behavior_logs', 'mart_user_funnel_daily')""",
+    "warehouse_dashboard": f"""{HOUSE},
+parts AS (
+  SELECT 'platform' AS part, platform AS value, {SUMS} FROM funnel GROUP BY platform UNION ALL
+  SELECT 'utm_source', utm_source, {SUMS} FROM funnel GROUP BY utm_source),
+{SEGMENT_COUNTS.replace('WITH ' + ORDERS + ',', '', 1).replace('ords', 'staged').replace("DATE '2024-01-31'", "DATE '2024-02-03'")}
+SELECT part, value, total_visitors AS people, cvr AS share FROM (SELECT *, {CVR} FROM parts) UNION ALL
+SELECT 'segment', segment_name, customer_count, pct FROM shares""",
     "dq_volume": f"""WITH {LOGS}
 SELECT COUNT(*) AS log_records, CAST(1000 AS BIGINT) AS floor, COUNT(*) >= 1000 AS enough FROM logs""",
 }

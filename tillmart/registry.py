@@ -117,18 +117,65 @@ def landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Run dates that collect every raw row of the test tables.
+ALL_RUNS = [date.fromordinal(date(2024, 1, 1).toordinal() + n) for n in range(33)]
+HOUSE_AS_OF = date(2024, 2, 3)
+
+
 @query
 def warehouse_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The funnel mart as two whole runs leave it; the second refreshes only what it changed."""
     house = Warehouse(spark, new_folder(spark, "house"))
     early = F.col("batch_date") < F.lit(SECOND_LOAD_FROM)
     orders, logs = star_tables.raw_orders(spark, sf_dir), star_tables.raw_sessions(spark, sf_dir)
-    dates = [date.fromordinal(date(2024, 1, 1).toordinal() + n) for n in range(33)]
-    for part, run_dates in ((early, dates[:15]), (~early, dates)):
-        house.run(run_dates, date(2024, 2, 3), orders.where(part), logs.where(part))
+    for part, run_dates in ((early, ALL_RUNS[:15]), (~early, ALL_RUNS)):
+        house.run(run_dates, HOUSE_AS_OF, orders.where(part), logs.where(part))
     return _shown(house.funnel.read().drop("refreshed_at"))
 
 
+def _house(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse after one run over all raw rows."""
+    house = Warehouse(spark, new_folder(spark, "house"))
+    orders, logs = star_tables.raw_orders(spark, sf_dir), star_tables.raw_sessions(spark, sf_dir)
+    house.run(ALL_RUNS, HOUSE_AS_OF, orders, logs)
+    return house
+
+
+@query
+def warehouse_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, health and newest time of a loaded warehouse, from the lists of its tables."""
+    house = _house(spark, sf_dir)
+    rows = house.row_counts().select(F.col("table_name").alias("name"), F.col("row_count").cast("string").alias("value"))
+    newest = house.last_updated().select(F.lit("last_updated").alias("name"), clock.kst_text(F.col("last_updated")).alias("value"))
+    healthy = reports.zone_health(house.row_counts()).select(
+        F.lit("healthy").alias("name"), F.col("healthy").cast("string").alias("value")
+    )
+    return rows.unionByName(newest).unionByName(healthy)
+
+
+@query
+def warehouse_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Breakdowns of the written funnel mart and segments of the written RFM mart, as (part, value)."""
+    house = _house(spark, sf_dir)
+    mart = house.funnel.read()
+    parts = [
+        reports.breakdown(mart, by).select(
+            F.lit(by).alias("part"),
+            F.col(by).alias("value"),
+            F.col("total_visitors").alias("people"),
+            F.col("cvr").alias("share"),
+        )
+        for by in ("platform", "utm_source")
+    ]
+    segments = reports.segment_counts(house.rfm.read()).select(
+        F.lit("segment").alias("part"),
+        F.col("segment_name").alias("value"),
+        F.col("customer_count").alias("people"),
+        F.col("pct").alias("share"),
+    )
+    return reduce(DataFrame.unionByName, [*parts, segments])
+
+
 @query
 def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plan of every batch date as run date, with the number of raw orders and payloads to read."""
@@ -192,6 +239,33 @@ def std_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def std_timestamps_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event time in rarer forms; those without a reading give null."""
+    logs = star_tables.logs(spark, sf_dir, as_sent=True)
+    spaced = F.col("event_at").cast("string")
+    wall = F.replace(spaced, F.lit(" "), F.lit("T"))
+    basic = F.translate(wall, "-:", "")
+    forms = {
+        "basic": basic,
+        "basic_offset": F.concat(basic, F.lit("+0800")),
+        "comma": F.concat(wall, F.lit(",5Z")),
+        "padded": F.concat(F.lit("  "), wall, F.lit(" ")),
+        "minute": F.concat(F.substring(wall, 1, 16), F.lit("Z")),
+        "hour_offset": F.concat(wall, F.lit("-03")),
+        "date_only": F.substring(wall, 1, 10),
+        "spaced_junk": F.concat(spaced, F.lit(" (local)")),
+        "no_month": F.concat(F.lit("2024-13-"), F.substring(wall, 9, 11)),
+    }
+    return logs.select("log_id", *[clock.kst_timestamp(text).alias(name) for name, text in forms.items()])
+
+
+@query
+def std_orders_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with other currencies, statuses, amounts and times than those of the test tables."""
+    return standardize.orders(star_tables.odd_orders(spark, sf_dir)).select(*ORDER_COLUMNS)
+
+
 @query
 def std_orders_naver(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = star_tables.raw_orders(spark, sf_dir).where(F.col("source_api") == "naver_commerce_api")
@@ -268,13 +342,19 @@ def upsert_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def logs_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs of the first twenty days are in staging; a load of the last twenty comes in."""
-    logs = _logs(spark, sf_dir)
-    existing = logs.where(F.col("event_date") <= F.lit(date(2024, 1, 20)))
-    batch = logs.where(F.col("event_date") >= F.lit(date(2024, 1, 11)))
-    new = keyed.unseen(keyed.first_logs(batch), existing, "log_id")
-    columns = ["log_id", "session_id", "event_name", "event_at"]
-    return existing.select(F.lit("kept").alias("origin"), *columns).unionByName(
-        new.select(F.lit("inserted").alias("origin"), *columns)
+    table = DayTable(
+        spark, new_folder(spark, "stg-logs"), STAGED_LOGS, "event_date", quality.log_rules
+    )
+    logs, loaded = _logs(spark, sf_dir), F.unix_micros("loaded_at")
+    staging.insert_logs(table, logs.where(F.col("event_date") <= F.lit(date(2024, 1, 20))))
+    first = table.read().agg(F.max(loaded)).first()[0]
+    staging.insert_logs(table, logs.where(F.col("event_date") >= F.lit(date(2024, 1, 11))))
+    return table.read().select(
+        F.when(loaded <= first, "kept").otherwise("inserted").alias("origin"),
+        "log_id",
+        "session_id",
+        "event_name",
+        "event_at",
     )
 
 
@@ -561,6 +641,13 @@ def dq_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rule_counts(orders, quality.order_rules())
 
 
+@query
+def dq_orders_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over orders that break all but those which defaults keep."""
+    orders = standardize.orders(star_tables.odd_orders(spark, sf_dir))
+    return quality.rule_counts(orders, quality.order_rules())
+
+
 @query
 def dq_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rule_counts(
@@ -603,6 +690,40 @@ def dq_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dq_marts_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over both marts with values spoilt by day, platform and user."""
+    day, user = F.dayofmonth("base_date"), F.col("user_id").cast("bigint")
+    spoilt_funnel = _funnel(spark, sf_dir).withColumns(
+        {
+            "final_conversion_rate": F.when(day % 5 != 0, F.col("final_conversion_rate") + day % 2),
+            "platform": F.when(day % 7 == 0, "EBAY").when(day % 7 != 1, F.col("platform")),
+            "utm_source": F.when(day % 11 != 0, F.col("utm_source")),
+            "product_views": F.when(day % 3 == 0, -F.col("product_views")).otherwise(F.col("product_views")),
+            "total_visitors": F.when(day % 4 == 0, -F.col("total_visitors")).otherwise(F.col("total_visitors")),
+        }
+    )
+    spoilt_rfm = rfm_segments(spark, sf_dir).withColumns(
+        {
+            "r_score": F.when(user % 3 == 0, F.col("r_score") + 3).otherwise(F.col("r_score")),
+            "f_score": F.col("f_score") - F.when(user % 5 == 0, 2).otherwise(0),
+            "segment_name": F.when(user % 7 == 0, "OTHER").when(user % 7 != 1, F.col("segment_name")),
+            "monetary_amount": F.when(user % 11 == 0, -F.col("monetary_amount")).otherwise(F.col("monetary_amount")),
+            "recency_days": F.col("recency_days") - F.when(user % 2 == 0, 20).otherwise(0),
+        }
+    )
+    return reduce(
+        DataFrame.unionByName,
+        [
+            quality.rule_counts(rows, rules).select(F.lit(mart).alias("mart"), "rule", "violations")
+            for mart, rows, rules in (
+                ("funnel", spoilt_funnel, quality.funnel_rules()),
+                ("rfm", spoilt_rfm, quality.rfm_rules()),
+            )
+        ],
+    )
+
+
 @query
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with more than one version in the raw zone."""

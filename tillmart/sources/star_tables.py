@@ -174,6 +174,78 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values of the odd orders, chosen by the order number; an empty text leaves the field out.
+ODD_CURRENCIES = ('"KRW"', '"usd"', '"JPY"', '"EUR"', '"WONS"', "")
+ODD_STATUSES = ('"PAID"', '"SHIPPED"', '"CANCELLED"', '"REFUNDED"', '"LOST"', "null", "")
+ODD_TIMES = ("T23:59:59", "T15:00:00Z", "T00:00:00+10:00")
+
+
+def odd_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload for each order, with values that the test tables themselves never hold."""
+    number = F.col("order_id").cast("bigint")
+    net = F.col("payment_amount").cast("string")
+    amount = (
+        F.when(number % 11 == 0, F.concat(F.lit("-"), net))
+        .when(number % 11 == 1, "null")
+        .when(number % 11 == 2, F.concat(F.lit('"'), net, F.lit('"')))
+        .otherwise(net)
+    )
+    discount = F.when(number % 13 == 0, "-1").when(number % 13 == 1, "").otherwise("2.005")
+    currency = _pick(ODD_CURRENCIES, number % len(ODD_CURRENCIES))
+    order = F.when(number % 19 != 0, F.col("order_id")).otherwise("")
+    buyer = F.when(number % 4 == 0, '""').when(number % 4 == 1, "").otherwise(F.col("user_id"))
+    paid = F.concat(
+        F.lit('"'),
+        F.when(number % 23 == 0, "soon").otherwise(
+            F.concat(F.col("paid_date").cast("string"), _pick(ODD_TIMES, number % len(ODD_TIMES)))
+        ),
+        F.lit('"'),
+    )
+    product = F.coalesce("product_id", F.lit(""))
+    status = _pick(ODD_STATUSES, number % len(ODD_STATUSES))
+
+    def payload(fields: dict[str, Column]) -> Column:
+        given = [F.when(v != "", F.concat(F.lit(f'"{name}":'), v)) for name, v in fields.items()]
+        return F.concat(F.lit("{"), F.concat_ws(",", *given), F.lit("}"))
+
+    def price(value: Column) -> Column:
+        return payload({"Amount": value, "CurrencyCode": currency})
+
+    naver = payload(
+        {
+            "orderNo": order,
+            "buyerId": buyer,
+            "productNo": product,
+            "totalPayment": amount,
+            "discountAmt": discount,
+            "currency": currency,
+            "paidDatetime": paid,
+            "orderStatus": status,
+        }
+    )
+    amazon = payload(
+        {
+            "AmazonOrderId": order,
+            "BuyerEmail": buyer,
+            "ASIN": product,
+            "OrderTotal": price(amount),
+            "PromotionDiscount": price(discount),
+            "PurchaseDate": paid,
+            "OrderStatus": status,
+        }
+    )
+    is_naver = F.col("platform") == "NAVER"
+    return raw_rows(
+        orders_with_items(spark, sf_dir),
+        F.when(is_naver, "naver_commerce_api").otherwise("amazon_sp_api"),
+        F.when(is_naver, naver).otherwise(amazon),
+        batch_date=F.col("paid_date"),
+        fetched_at=F.date_add("paid_date", 1),
+        raw_id=F.concat_ws("-", F.lit("x"), F.col("order_id")),
+        ingest_seq=number,
+    )
+
+
 def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behaviour payloads: four neighbouring events each, and one without events per customer.
 
