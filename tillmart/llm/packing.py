@@ -173,4 +173,6 @@ def packed(
     names = [c.split()[0] for c in schema.split(", ")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     place = F.xxhash64(F.lit(seed), "doc_id", F.spark_partition_id())
-    return rows.withColumn("_place", place).repartition("_place").mapInArrow(run, schema)
+    # In an order of their own, so that a task that is run again packs the same sequences.
+    dealt = rows.withColumn("_place", place).repartition("_place")
+    return dealt.sortWithinPartitions("_place", "doc_id", F.xxhash64("text")).mapInArrow(run, schema)
