@@ -44,15 +44,32 @@ def test_transactions_join_either_way(spark):
         {"record_id": "m", "type": "metadata", "concurrent_to": "q"},
         {"record_id": "alone", "type": "response", "concurrent_to": None},
         {"record_id": "lost", "type": "metadata", "concurrent_to": "nobody"},
+        {"record_id": None, "type": "response", "target_uri": "a"},
+        {"record_id": None, "type": "request"},
+        {"record_id": None, "type": "response", "target_uri": "b"},
     ]
     table = spark.createDataFrame([tuple(m.get(c) for c in record) for m in made], warc.RECORD)
-    found = {r.record_id: r for r in warc.captures(table).collect()}
+    captured = warc.captures(table).collect()
+    # Records without ids are captures of their own.
+    nameless = [r for r in captured if r.record_id is None]
+    assert sorted(r.target_uri for r in nameless) == ["a", "b"]
+    assert all(r.requests == [] for r in nameless)
+    found = {r.record_id: r for r in captured if r.record_id is not None}
     assert set(found) == {"r", "alone"}
     assert [x.record_id for x in found["r"].requests] == ["q"]
     assert [x.record_id for x in found["r"].metadata] == ["m"]
     assert found["alone"].requests == []
 
 
+def test_a_payload_full_of_marks_is_put_together_once(spark):
+    html = "WARC/1.0\r\n" * 20_000
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", html), (3, "u", "x")], "page_id long, url string, html string")
+    path = new_folder(spark, "w")
+    found = {r.page_id: r for r in warc.round_trip(pages, path).collect()}
+    assert {i: r.payload_bytes for i, r in found.items()} == {1: len(html), 2: len(html), 3: 1}
+    assert found[2].refers_to == 1
+
+
 @pytest.mark.parametrize("cell", [1024, 16])
 def test_vector_links_equal_brute_force(spark, sf_dir, monkeypatch, cell):
     monkeypatch.setattr(links, "CELL", cell)

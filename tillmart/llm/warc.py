@@ -141,8 +141,9 @@ def write(pages: DataFrame, path: str) -> None:
     rows.mapInArrow(run, "value string").write.text(path, compression="gzip", lineSep=END)
 
 
-def _parsed(raw: bytes) -> dict | None:
-    """The record that begins ``raw`` (without its first line), or None if it goes on."""
+def _head(raw: bytes) -> tuple[dict[str, str], int, int] | None:
+    """Named fields of the record that begins ``raw`` (without its first line), and where its block
+    begins and ends; None if the fields go on."""
     end = raw.find(b"\r\n\r\n")
     if end < 0:
         return None
@@ -150,10 +151,33 @@ def _parsed(raw: bytes) -> dict | None:
     for line in raw[:end].decode("utf-8", "replace").split("\r\n"):
         name, _, value = line.partition(":")
         named[name.strip().lower()] = value.strip()
-    length = int(named.get("content-length") or 0)
-    if len(raw) < end + 4 + length:
-        return None
-    kind, block = named.get("warc-type"), raw[end + 4 : end + 4 + length]
+    return named, end + 4, end + 4 + int(named.get("content-length") or 0)
+
+
+class _Pieces:
+    """What stands between marks, put together once it holds as much as its record says."""
+
+    def __init__(self) -> None:
+        self.pieces: list[bytes] = []
+        self.size, self.needed = -len(MARK), None
+
+    def add(self, piece: bytes) -> bool:
+        """Whether the record is complete with this piece."""
+        self.pieces.append(piece)
+        self.size += len(MARK) + len(piece)
+        if self.needed is None:
+            head = _head(self.whole())
+            self.needed = head[2] if head else None
+        return self.needed is not None and self.size >= self.needed
+
+    def whole(self) -> bytes:
+        return MARK.join(self.pieces)
+
+
+def _parsed(raw: bytes) -> dict:
+    """The complete record that begins ``raw``."""
+    named, begin, end = _head(raw)
+    kind, block = named.get("warc-type"), raw[begin:end]
     out = {
         "record_id": (named.get("warc-record-id") or "").strip("<>") or None,
         "type": kind,
@@ -186,20 +210,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     names = [c.split()[0] for c in RECORD.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, held = None, None
+        file, held = None, _Pieces()
         for batch in slices(batches, "value"):
             found = []
             for name, piece in zip(
                 batch.column("file").to_pylist(), batch.column("value").to_pylist(), strict=True
             ):
                 if name != file:  # what stands before the first mark of a file is no record
-                    file, held = name, None
+                    file, held = name, _Pieces()
                     continue
-                held = piece if held is None else held + MARK + piece
-                record = _parsed(held)
-                if record is not None:
-                    found.append(record)
-                    held = None
+                if held.add(piece):
+                    found.append(_parsed(held.whole()))
+                    held = _Pieces()
             if found:
                 yield pa.RecordBatch.from_pylist(found, schema)
 
@@ -214,9 +236,11 @@ def captures(records: DataFrame) -> DataFrame:
     Either side of a transaction may name the other in ``concurrent_to``.
     """
     record = F.struct(*(c for c in records.columns))
-    grouped = records.groupBy(F.coalesce("concurrent_to", "record_id").alias("_key")).agg(
-        F.collect_list(record).alias("_all")
-    )
+    keyed = records.withColumn("_key", F.coalesce("concurrent_to", "record_id"))
+    grouped = keyed.where("_key IS NOT NULL").groupBy("_key").agg(F.collect_list(record).alias("_all"))
+    # Records without any id belong to no other: each is a transaction of its own.
+    alone = keyed.where("_key IS NULL").select("_key", F.array(record).alias("_all"))
+    grouped = grouped.unionByName(alone)
     of = lambda *kinds: F.filter("_all", lambda r: r["type"].isin(*kinds))
     bare = lambda rows, *names: F.transform(
         rows, lambda r: F.struct(*(r[n].alias(n) for n in names))
@@ -250,10 +274,12 @@ def round_trip(pages: DataFrame, path: str) -> DataFrame:
     found = stored(found, "captures")
     first = (
         found.where("record_type = 'response'")
-        .groupBy(F.col("payload_digest").alias("_d"), F.col("payload_bytes").alias("_n"))
+        .groupBy("payload_digest", "payload_bytes")
         .agg(F.min("page_id").alias("_page"))
     )
-    same = (F.col("payload_digest") == F.col("_d")) & (F.col("payload_bytes") == F.col("_n"))
+    # By the reversed digest, so that both sides move and a very common payload can be split.
+    first = first.select(F.reverse("payload_digest").alias("_d"), F.col("payload_bytes").alias("_n"), "_page")
+    same = (F.reverse("payload_digest") == F.col("_d")) & (F.col("payload_bytes") == F.col("_n"))
     return found.join(first, same, "left").select(
         "page_id",
         "payload_bytes",
