@@ -11,7 +11,7 @@ from tillmart.operators import attribution, funnel, keyed, standardize
 from tillmart.plans import marts, staging
 from tillmart.plans.warehouse import Warehouse
 from tillmart.schemas import STAGED_LOGS, STAGED_ORDERS
-from tillmart.sources import day_table, key_log, star_tables
+from tillmart.sources import day_table, key_log, raw_zone, star_tables
 from tillmart.sources.day_table import DayTable, DuplicateKeys
 
 
@@ -162,6 +162,41 @@ def test_references_to_missing_raw_rows_stop_the_load(spark, staged):
     assert asked[-1] == [day(0), day(1)]
 
 
+def test_a_day_that_only_gains_orders_is_added_to(spark, staged, monkeypatch):
+    monkeypatch.setattr(day_table, "FOLD", 3)
+    folders = lambda d: [f.name for f in staged._snapshot().folders if f.day == d]
+    staging.load_orders(staged, order_raw(spark, (0, "A", None, 0, 1), (0, "B", None, 1, 2)))
+    first, other = folders(day(0)), folders(day(1))
+    # C is new on the first day; B moves from the second day to the third.
+    later = order_raw(spark, (1, "C", None, 0, 3), (1, "B", "SHIPPED", 2, 4))
+    assert staging.load_orders(staged, later) == staging.LoadStats(2, 2, 0)
+    assert first[0] in folders(day(0)) and len(folders(day(0))) == 2
+    assert not set(other) & set(folders(day(1)))
+    found = rows(staged.read(), "order_id", "order_status", "paid_date")
+    assert found == [("A", "PAID", day(0)), ("B", "SHIPPED", day(2)), ("C", "PAID", day(0))]
+    for n in range(3):
+        staging.load_orders(staged, order_raw(spark, (2 + n, f"D{n}", None, 0, n)))
+    assert len(folders(day(0))) <= 3  # a day of many folders is written anew
+    assert staged.read().count() == 6
+
+
+def test_payloads_move_once_when_they_land(spark, tmp_path, monkeypatch):
+    plans = []
+    land = raw_zone.land
+
+    def seen(rows, *args, **kwargs):
+        plans.append(kwargs.get("together", False))
+        land(rows, *args, **kwargs)
+
+    monkeypatch.setattr(raw_zone, "land", seen)
+    house = Warehouse(spark, str(tmp_path))
+    raw = order_raw(spark, (0, "A", None, 0, 1), (1, "B", None, 0, 1))
+    assert house.land(raw, None)[0].rows == 2
+    assert plans == [True]
+    assert raw_zone.scan(spark, house.raw_orders_path).count() == 2
+    assert spark.read.text(f"{tmp_path}/json/ecommerce_orders").count() == 2
+
+
 # -- touches and changed days ------------------------------------------------------------
 
 

@@ -1,5 +1,6 @@
 """Payload parsing, defaults, currency and time rules."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -218,3 +219,11 @@ def test_iso_forms_are_read_as_python_reads_them(spark):
     frame = spark.createDataFrame([(t,) for t in forms], "t string")
     got = {r.t: r.at for r in frame.select("t", clock.kst_timestamp(F.col("t")).alias("at")).collect()}
     assert got == {t: read(t) for t in forms}
+
+
+def test_the_parse_of_orders_stays_small_enough_to_be_compiled(spark, capsys):
+    """The JVM compiles no method of more than 8000 bytes."""
+    parsed = standardize.orders(raw(spark, "naver_commerce_api", "{}"))
+    parsed.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000

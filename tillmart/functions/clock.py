@@ -96,9 +96,11 @@ def kst_timestamp(raw: Column) -> Column:
 
     Strings with ``Z`` or an offset are converted, strings without one are KST already. Of a
     string that is not ISO 8601 but begins with a full second, the rest is ignored. The pattern is
-    tried only on what is in none of the usual forms.
+    tried only on what is in none of the usual forms, and as a lambda: inlined it would make the
+    generated method of the whole projection too long for the JVM to compile.
     """
-    return F.coalesce(_usual(raw), _any_form(raw))
+    rare = F.get(F.transform(F.array(raw), _any_form), F.lit(0))
+    return F.coalesce(_usual(raw), rare)
 
 
 def whole_second(at: Column) -> Column:

@@ -122,9 +122,13 @@ def breaks_any(rules: Rules) -> Column:
 
 
 def with_violations(rows: DataFrame, rules: Rules) -> DataFrame:
-    """Add the names of the rules each row breaks. A rule that gives null is not broken."""
+    """Add the names of the rules each row breaks. A rule that gives null is not broken.
+
+    The names are put together only for rows that break one.
+    """
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))
-    return rows.withColumn("violations", broken)
+    none = F.array().cast("array<string>")
+    return rows.withColumn("violations", F.when(breaks_any(rules), broken).otherwise(none))
 
 
 def clean(flagged: DataFrame) -> DataFrame:

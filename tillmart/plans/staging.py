@@ -67,9 +67,9 @@ def _check_references(batch: DataFrame, raw: Raw | None) -> None:
     """Every raw_id of ``batch`` is in the raw zone; only the batches it names are read."""
     if raw is None:
         return
-    named = batch.where("raw_id IS NOT NULL").select("batch_date", "raw_id").distinct()
+    named = batch.where("raw_id IS NOT NULL").select("batch_date", "raw_id")
     dates = [r[0] for r in named.select("batch_date").distinct().collect()]  # calendar days
-    if dates and not quality.orphans(named, raw(sorted(dates))).isEmpty():
+    if dates and not quality.orphans(named.distinct(), raw(sorted(dates))).isEmpty():
         raise MissingReferences("rows name raw rows that are not in the raw zone")
 
 
@@ -84,17 +84,17 @@ def upsert_orders(
 
     Every version is held against the rules before the newest is chosen, so each bad one is put
     aside and none hides a good one. Versions are compared over all history, by the table's key log,
-    so loading an old batch again cannot undo a newer status. Only days that lose or gain a version
-    are rewritten. With ``references`` the raw rows that the batch names must exist.
+    so loading an old batch again cannot undo a newer status. Only days that lose a version
+    are rewritten; those that only gain some are added to. With ``references`` the raw rows that the batch names must exist.
     """
     table = table.with_key("order_id", keyed.ORDER_VERSION)
     flagged, seen = _counting(quality.with_violations(versions, quality.order_rules()))
     with scratch(flagged, "versions") as flagged:
         n_bad = seen.get["bad"]
         good = _accept(flagged, n_bad, quarantine, on_reject, ("raw_id",))
-        with scratch(keyed.latest_orders(good), "orders") as batch:
-            _check_references(batch, references)
-            pairs = with_known(batch, table)
+        latest = keyed.latest_orders(good)
+        with scratch(with_known(latest, table).drop("old_version"), "orders") as pairs:
+            _check_references(pairs, references)
             # One line per pair of calendar days.
             moves = (
                 pairs.groupBy("paid_date", "old_date")
@@ -102,14 +102,20 @@ def upsert_orders(
                 .collect()
             )
             moved = [m for m in moves if m["newer"]]
-            days = {d for m in moved for d in (m["paid_date"], m["old_date"]) if d is not None}
-            if days:
-                new = pairs.where("newer").select(*batch.columns)
+            gain, lose = ({m[c] for m in moved} - {None} for c in ("paid_date", "old_date"))
+            if gain:
+                new = pairs.where("newer").select(*latest.columns, "old_date")
                 new = new.withColumn("loaded_at", F.current_timestamp())
-                latest = keyed.latest_orders(table.read(days).unionByName(new))
-                table.replace_days(latest, days, changed=new)
+                # Orders that staging has not yet meet no row of theirs; days that lose none grow.
+                anew = lose | (gain & table.crowded())
+                old_date, rows = F.col("old_date"), new.drop("old_date")
+                again, first = (rows.where(known) for known in (old_date.isNotNull(), old_date.isNull()))
+                staged = table.read(anew)
+                if lose:
+                    staged = keyed.latest_orders(staged.unionByName(again))
+                table.replace_days(staged.unionByName(first), anew, changed=rows, grow=gain)
             return LoadStats(
-                sum(m["n"] for m in moves), sum(m["newer"] for m in moves), n_bad, frozenset(days)
+                sum(m["n"] for m in moves), sum(m["newer"] for m in moves), n_bad, frozenset(gain | lose)
             )
 
 

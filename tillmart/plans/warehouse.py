@@ -97,8 +97,11 @@ class Warehouse:
     def _land(
         self, rows: DataFrame, table: str, name: str, rules: quality.Rules, on_reject: str
     ) -> Landed:
-        """Land the good rows of one fetch, counted while it is written for the first time."""
-        flagged, seen = raw_zone.observed(rows, rules)
+        """Land the good rows of one fetch, counted while it is written for the first time.
+
+        Payloads move once, before that: the table and the JSON files are written as they lie then.
+        """
+        flagged, seen = raw_zone.observed(raw_zone.by_partition(rows), rules)
         with scratch(flagged, "landing") as fetched:
             n = seen.get
             if n["bad"] and on_reject == "fail":
@@ -107,7 +110,7 @@ class Warehouse:
                 bad = quality.rejected(fetched)
                 bad = bad.withColumn("content", raw_zone.content_key(bad)).dropDuplicates(["content"])
                 staging.put_aside(bad, f"{self.root}/quarantine/raw_{name}", ("content",))
-            raw_zone.land(quality.clean(fetched), table, f"{self.root}/json/{name}")
+            raw_zone.land(quality.clean(fetched), table, f"{self.root}/json/{name}", together=True)
             landed = Landed(n["n"] - n["bad"], n["bad"], n["cancelled"], n["refunded"])
             line = self.spark.createDataFrame([(name, landed.rows)], "feed string, n bigint")
             line.coalesce(1).write.mode("append").json(f"{self.root}/raw/landed")

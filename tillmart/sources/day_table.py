@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections import Counter
+from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -246,23 +247,39 @@ class DayTable:
             .write.json(f"{self.root}/published/publish={now.number + 1}")
         )
 
+    def crowded(self) -> set[date]:
+        """Days of so many folders that the next addition writes them anew."""
+        held = Counter(f.day for f in self._snapshot().folders)
+        return {d for d, n in held.items() if n >= FOLD}
+
     def replace_days(
-        self, rows: DataFrame, days: Iterable[date], changed: DataFrame | None = None
+        self,
+        rows: DataFrame,
+        days: Iterable[date],
+        changed: DataFrame | None = None,
+        grow: Iterable[date] = (),
     ) -> None:
         """``rows`` become the whole content of ``days``; a day without rows is emptied.
 
-        With a key log, ``changed`` are the rows among them that it does not have yet.
+        Rows of other days, if these are among ``grow``, are added to them. With a key log,
+        ``changed`` are the rows that it does not have yet.
         """
-        self._replace(rows, set(days), changed)
+        self._replace(rows, set(days), changed, set(grow))
 
     def replace_all(self, rows: DataFrame) -> None:
         self._replace(rows, None, None)
 
-    def _replace(self, rows: DataFrame, days: set[date] | None, changed: DataFrame | None) -> None:
+    def _replace(
+        self,
+        rows: DataFrame,
+        days: set[date] | None,
+        changed: DataFrame | None,
+        grow: Collection[date] = (),
+    ) -> None:
         now = self._snapshot()
         new = self._write(rows)
         gone = {f.day for f in (*new, *now.folders)} if days is None else days
-        outside = sorted({f.day for f in new} - gone)
+        outside = sorted({f.day for f in new} - gone - set(grow))
         if outside:
             raise ValueError(f"rows outside the days to replace: {outside}")
         if self.key_log and changed is not None:
@@ -296,10 +313,7 @@ class DayTable:
             self._check_keys(new, now, set())
             keys = self._logged(self._rows_of(new), now)
             new = [Folder(f.day, f.name, f.n, f.newest, True) for f in new]
-        held: dict[date, int] = {}
-        for f in now.folders:
-            held[f.day] = held.get(f.day, 0) + 1
-        full = {d for d in counts if held.get(d, 0) >= FOLD}
+        full = counts.keys() & self.crowded()
         if full:
             many = [f for f in (*now.folders, *new) if f.day in full]
             one = [

@@ -44,25 +44,25 @@ def payload_text(payloads: DataFrame) -> Column:
     return F.to_json(F.struct(*payloads.columns))
 
 
-def land(rows: DataFrame, table: str, json_folder: str | None = None) -> None:
+def by_partition(rows: DataFrame) -> DataFrame:
+    """``rows`` so that a partition of the raw zone lies in few tasks; a large one is split."""
+    return rows.hint("rebalance", *RAW_PARTITIONS)
+
+
+def land(
+    rows: DataFrame, table: str, json_folder: str | None = None, together: bool = False
+) -> None:
     """Append raw rows to ``table`` and, if asked, their payloads as JSON lines.
 
-    Both appends hold the same payloads, so a rerun of a day leaves them in step.
+    Both appends hold the same payloads, so a rerun of a day leaves them in step. ``together`` says
+    that ``rows`` were written ``by_partition`` and need not move again.
     """
-    (
-        rows.hint("rebalance", *RAW_PARTITIONS)
-        .write.mode("append")
-        .partitionBy(*RAW_PARTITIONS)
-        .parquet(table)
-    )
+    texts = rows.select("payload_json", *RAW_PARTITIONS)
+    if not together:
+        rows, texts = by_partition(rows), by_partition(texts)
+    rows.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(table)
     if json_folder is not None:
-        (
-            rows.select("payload_json", *RAW_PARTITIONS)
-            .hint("rebalance", *RAW_PARTITIONS)
-            .write.mode("append")
-            .partitionBy(*RAW_PARTITIONS)
-            .text(json_folder)
-        )
+        texts.write.mode("append").partitionBy(*RAW_PARTITIONS).text(json_folder)
 
 
 def observed(rows: DataFrame, rules: quality.Rules) -> tuple[DataFrame, Observation]:
