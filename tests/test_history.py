@@ -194,7 +194,9 @@ def test_payloads_move_once_when_they_land(spark, tmp_path, monkeypatch):
     assert house.land(raw, None)[0].rows == 2
     assert plans == [True]
     assert raw_zone.scan(spark, house.raw_orders_path).count() == 2
-    assert spark.read.text(f"{tmp_path}/json/ecommerce_orders").count() == 2
+    texts = spark.read.text(f"{tmp_path}/json/ecommerce_orders")
+    assert rows(texts, "value") == rows(raw, "payload_json")
+    assert all(f.endswith(".gz") for f in texts.inputFiles())
 
 
 # -- touches and changed days ------------------------------------------------------------

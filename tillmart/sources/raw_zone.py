@@ -52,7 +52,7 @@ def by_partition(rows: DataFrame) -> DataFrame:
 def land(
     rows: DataFrame, table: str, json_folder: str | None = None, together: bool = False
 ) -> None:
-    """Append raw rows to ``table`` and, if asked, their payloads as JSON lines.
+    """Append raw rows to ``table`` and, if asked, their payloads as gzipped JSON lines.
 
     Both appends hold the same payloads, so a rerun of a day leaves them in step. ``together`` says
     that ``rows`` were written ``by_partition`` and need not move again.
@@ -62,7 +62,7 @@ def land(
         rows, texts = by_partition(rows), by_partition(texts)
     rows.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(table)
     if json_folder is not None:
-        texts.write.mode("append").partitionBy(*RAW_PARTITIONS).text(json_folder)
+        texts.write.mode("append").partitionBy(*RAW_PARTITIONS).text(json_folder, compression="gzip")
 
 
 def observed(rows: DataFrame, rules: quality.Rules) -> tuple[DataFrame, Observation]:
