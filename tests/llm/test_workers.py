@@ -2,7 +2,20 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.llm import repeats
+from tillmart.llm import repeats, simhash
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def test_prints_bring_no_text_back(spark, monkeypatch):
+    given = [(i, " ".join(f"w{i // 2}x{j}" for j in range(40)), "web") for i in range(6)]
+    table = spark.createDataFrame([*given, (7, None, "web"), (None, None, "web")], SCHEMA).repartition(3)
+    asked, found = [], simhash._with_prints
+    monkeypatch.setattr(simhash, "_with_prints", lambda d, c: asked.append(c) or found(d, c))
+    kept = simhash.kept_documents(table)
+    assert asked == [["doc_id", "_row"]]
+    assert kept.columns == table.columns
+    assert {r.doc_id for r in kept.collect()} == {0, 2, 4, 7}
 
 
 def test_texts_pass_the_workers_once_when_spans_are_joined(spark):

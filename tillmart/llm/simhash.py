@@ -42,6 +42,8 @@ CODE = 15
 RADIUS = 1
 #: Fingerprints of an anchor that are compared in one cell.
 CELL = 4096
+#: Bytes of text that are hashed at once; their shingles take some thirty times as much.
+SLICE_BYTES = 1 << 20
 
 
 def fingerprints(texts: list[bytes]) -> np.ndarray:
@@ -78,7 +80,7 @@ def _with_prints(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` and ``fp``, the fingerprint as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             found = fingerprints(utf8(batch.column("_text"))).view(np.int64)
             arrays = [*(batch.column(c) for c in columns), pa.array(found)]
             yield pa.RecordBatch.from_arrays(arrays, [*columns, "fp"])
@@ -181,15 +183,15 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     any doc_id keeps one row.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    rows = docs.select(
-        *(F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").alias("text"),
-    )
-    rows = _with_prints(rows, [*names, "doc_id"]).withColumn("_row", F.monotonically_increasing_id())
-    rows = stored(rows, "fingerprints")
-    labelled = rows.select("doc_id", "fp", "_row").join(_labels(rows.select("doc_id", "fp")), "fp")
+    rows = docs.select(*(F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)))
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    # Texts go to the Python workers, only numbers come back.
+    doc_id, text = (F.col(names[[c.lower() for c in docs.columns].index(x)]) for x in ("doc_id", "text"))
+    prints = rows.select(doc_id.cast("long").alias("doc_id"), "_row", text.alias("text"))
+    prints = stored(_with_prints(prints, ["doc_id", "_row"]), "fingerprints")
+    labelled = prints.join(_labels(prints.select("doc_id", "fp")), "fp")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best")
     chosen = labelled.groupBy("root").agg(best).select(F.col("best._row").alias("_row"))
-    kept = rows.join(chosen, "_row", "left_semi")
+    # A table of the chosen numbers, so that the rows themselves need no sort.
+    kept = rows.join(chosen.hint("shuffle_hash"), "_row", "left_semi")
     return kept.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))
