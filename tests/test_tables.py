@@ -13,6 +13,7 @@ from tillmart.plans.warehouse import Warehouse
 from tillmart.schemas import FUNNEL_MART, STAGED_LOGS, STAGED_ORDERS
 from tillmart.sources import raw_zone, star_tables
 from tillmart.sources.day_table import BrokenRules, DayTable
+from tillmart.sources.shared import PARSED_GROUP, stored
 from tillmart.streaming.behavior_ingest import ingest_stream
 
 DAY = date(2026, 8, 10)
@@ -398,3 +399,14 @@ def test_whole_run(spark, tmp_path, sf_dir):
     assert again.logs.changed == 0 and again.funnel_rows == stats.funnel_rows
     assert rows(house.funnel.read(), *expected.columns) == before
     assert house.row_counts().where("table_name = 'raw_ecommerce_orders'").first()[1] == 2 * stats.raw_orders
+
+
+def test_payloads_of_one_file_are_divided_among_tasks(spark):
+    """Rows written by one task are parsed by several: the file has row groups of its own size."""
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(f"-{n}")), 256) for n in range(4)])
+    raw = spark.range(0, 60_000, 1, 1).select(F.col("id").cast("string").alias("id")).withColumn("text", text)
+    back = stored(raw, "payloads", PARSED_GROUP)
+    held = back.repartition(1).select(F.sum(F.hash("id", "text").cast("long"))).first()
+    assert held == raw.select(F.sum(F.hash("id", "text").cast("long"))).first()
+    sizes = back.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 60_000

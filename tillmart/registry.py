@@ -16,7 +16,7 @@ from tillmart.plans.warehouse import Warehouse
 from tillmart.schemas import FUNNEL_MART, ORDER_LOOKBACK_DAYS, STAGED_LOGS, STAGED_ORDERS
 from tillmart.sources import raw_zone, star_tables
 from tillmart.sources.day_table import DayTable
-from tillmart.sources.shared import new_folder, stored
+from tillmart.sources.shared import PARSED_GROUP, new_folder, stored
 from tillmart.streaming.behavior_ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,8 +127,8 @@ def warehouse_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The funnel mart as two whole runs leave it; the second refreshes only what it changed."""
     house = Warehouse(spark, new_folder(spark, "house"))
     early = F.col("batch_date") < F.lit(SECOND_LOAD_FROM)
-    orders = stored(star_tables.raw_orders(spark, sf_dir), "raw-orders")
-    logs = stored(star_tables.raw_sessions(spark, sf_dir), "raw-sessions")
+    orders = stored(star_tables.raw_orders(spark, sf_dir), "raw-orders", PARSED_GROUP)
+    logs = stored(star_tables.raw_sessions(spark, sf_dir), "raw-sessions", PARSED_GROUP)
     for part, run_dates in ((early, ALL_RUNS[:15]), (~early, ALL_RUNS)):
         house.run(run_dates, HOUSE_AS_OF, orders.where(part), logs.where(part))
     return _shown(house.funnel.read().drop("refreshed_at"))
@@ -313,7 +313,7 @@ def _order_loads(
     """Raw orders loaded in two batches, the earlier of which comes again at the end."""
     root = new_folder(spark, "stg-orders")
     table = DayTable(spark, f"{root}/stg", STAGED_ORDERS, "paid_date", quality.order_rules)
-    raw = stored(star_tables.raw_orders(spark, sf_dir), "raw-orders")
+    raw = stored(star_tables.raw_orders(spark, sf_dir), "raw-orders", PARSED_GROUP)
     early = F.col("batch_date") < F.lit(SECOND_LOAD_FROM)
     loads = (("early", raw.where(early)), ("late", raw.where(~early)), ("early again", raw.where(early)))
     stats = [
@@ -664,8 +664,8 @@ def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = new_folder(spark, "quarantine")
     spoilt = F.col("ingest_seq") % SPOILT_EVERY == 0
-    orders = stored(star_tables.raw_orders(spark, sf_dir), "raw-orders")
-    sessions = stored(star_tables.raw_sessions(spark, sf_dir), "raw-sessions")
+    orders = stored(star_tables.raw_orders(spark, sf_dir), "raw-orders", PARSED_GROUP)
+    sessions = stored(star_tables.raw_sessions(spark, sf_dir), "raw-sessions", PARSED_GROUP)
     orders = orders.withColumn("payload_json", F.when(spoilt, "[1]").otherwise(F.col("payload_json")))
     sessions = sessions.withColumn(
         "payload_json", F.when(spoilt, '{"events": "none"}').otherwise(F.col("payload_json"))
