@@ -1,0 +1,138 @@
+"""What a whole run need not do: compare where nothing can be found, parse a payload for a word it lacks."""
+
+import gzip
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from samples import logs_frame, orders_frame
+from tillmart.operators import attribution, quality
+from tillmart.plans import marts
+from tillmart.sources import raw_zone, star_tables
+from tillmart.sources.shared import side_by_side
+
+
+def _state(spark, logs, orders):
+    return attribution.session_touches(logs), attribution.user_touches(logs), orders
+
+
+def test_days_are_only_looked_for_where_they_are_not_known(spark, monkeypatch):
+    logs, orders = logs_frame(spark), orders_frame(spark)
+    none = _state(spark, logs.where("false"), orders.where("false"))
+    now = _state(spark, logs, orders)
+    log_days = {r[0] for r in logs.select("event_date").distinct().collect()}
+    order_days = {r[0] for r in orders.select("paid_date").distinct().collect()}
+    compared, moved = [], marts._moved
+    monkeypatch.setattr(marts, "_moved", lambda *args: compared.append(args[2]) or moved(*args))
+    assert marts.days_moved(none, now, order_days, log_days) == log_days | order_days
+    assert compared == []
+
+
+def test_a_change_reaches_the_other_days(spark):
+    logs, orders = logs_frame(spark), orders_frame(spark)
+    now = _state(spark, logs, orders)
+    # LEE's last touch came on the fourth; the order of the third hangs on it, and on the order the platform.
+    seen = F.col("log_id") != "L9"
+    before = _state(spark, logs.where(seen), orders)
+    assert marts.days_moved(before, now, [], [date(2025, 3, 4)]) == {date(2025, 3, 3), date(2025, 3, 4)}
+    bought = F.col("order_id") != "B1"
+    before = _state(spark, logs, orders.where(bought))
+    assert marts.days_moved(before, now, [date(2025, 3, 3)], []) == {date(2025, 3, 3), date(2025, 3, 4)}
+
+
+def test_statuses_are_counted_however_they_are_written(spark):
+    payloads = [
+        '{"orderStatus":"CANCELLED"}',
+        '{"OrderStatus":"REFUNDED"}',
+        '{"orderStatus":"\\u0043ANCELLED"}',
+        '{"order\\u0053tatus":"REFUNDED"}',
+        '{"note":"CANCELLED","orderStatus":"PAID"}',
+        '{"orderStatus":"CANCELLED BY REFUNDED"}',
+        '{"orderStatus":null}',
+        "CANCELLED",
+        None,
+    ]
+    frame = spark.createDataFrame([(str(n), "naver_commerce_api", p) for n, p in enumerate(payloads)],
+                                  "raw_id string, source_api string, payload_json string").withColumns(
+        {"batch_date": F.lit(date(2025, 3, 1)), "fetched_at": F.lit("2025-03-02").cast("timestamp_ntz")}
+    )
+    flagged, seen = raw_zone.observed(frame, quality.raw_order_rules())
+    assert flagged.count() == len(payloads)
+    assert seen.get == {"n": 9, "bad": 1, "cancelled": 2, "refunded": 2}
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(payload_json" in plan.replace("contains(", "Contains(")
+
+
+@pytest.fixture
+def odd_tables(spark, tmp_path):
+    """Orders with nulls, a repeated key and one without lines."""
+    at = "1995-02-03 00:00:00"
+    orders = [
+        (1, 50, "F", 10000000.5, at, "1-URGENT"),
+        (2, 50, "P", 0.0, at, "5-LOW"),
+        (2, 51, "O", 12.34, at, "5-LOW"),
+        (3, None, "P", None, at, "2-HIGH"),
+        (4, None, None, None, None, None),
+        (None, 52, "O", 1.0, at, "3-MEDIUM"),
+        (5, 53, "P", 7.25, at, "1-URGENT"),
+    ]
+    lines = [(1, 7, 100.0, 0.05), (2, None, 0.0, 0.0), (3, 8, 99.99, 0.1), (4, 9, 1.0, None)]
+    spark.createDataFrame(
+        orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, at string, o_orderpriority string"
+    ).withColumn("o_orderdate", F.col("at").cast("timestamp_ntz")).drop("at").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(
+        lines, "l_orderkey bigint, l_partkey bigint, l_extendedprice double, l_discount double"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_order_payloads_are_those_of_to_json(spark, odd_tables):
+    raw = star_tables.raw_orders(spark, odd_tables)
+    price = "struct<Amount: decimal(18,2), CurrencyCode: string>"
+    naver = (
+        "orderNo string, buyerId string, productNo string, totalPayment decimal(18,2), "
+        "discountAmt decimal(18,2), currency string, paidDatetime string, orderStatus string"
+    )
+    amazon = (
+        f"AmazonOrderId string, BuyerEmail string, ASIN string, OrderTotal {price}, "
+        f"PromotionDiscount {price}, PurchaseDate string, OrderStatus string"
+    )
+    is_naver = F.col("source_api") == "naver_commerce_api"
+    again = F.when(is_naver, F.to_json(F.from_json("payload_json", naver))).otherwise(
+        F.to_json(F.from_json("payload_json", amazon))
+    )
+    found = raw.select("payload_json", again.alias("again")).collect()
+    assert len(found) == 13 and all(r.payload_json == r.again for r in found)
+    assert json.loads(next(r.payload_json for r in found if '"1"' in r.payload_json)) == {
+        "AmazonOrderId": "1", "BuyerEmail": "50", "ASIN": "7",
+        "OrderTotal": {"Amount": 10000000.5, "CurrencyCode": "USD"},
+        "PromotionDiscount": {"Amount": 5.0, "CurrencyCode": "USD"},
+        "PurchaseDate": "2024-01-03T15:00:00Z",
+    }
+    # Building them parses and writes no JSON.
+    assert "to_json" not in raw._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landed_json_is_gzipped_lines(spark, tmp_path, odd_tables):
+    raw = star_tables.raw_orders(spark, odd_tables).where("batch_date IS NOT NULL")
+    raw_zone.land(raw, str(tmp_path / "raw"), str(tmp_path / "json"))
+    lines = [
+        line
+        for file in (tmp_path / "json").rglob("*.gz")
+        for line in gzip.decompress(file.read_bytes()).decode().splitlines()
+    ]
+    assert sorted(lines) == [r[0] for r in rows(raw, "payload_json")]
+
+
+def test_works_side_by_side_all_end_before_an_error(spark):
+    done = []
+
+    def fails():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        side_by_side(spark, fails, lambda: done.append(spark.range(10).count()))
+    assert done == [10]

@@ -34,7 +34,7 @@ def _promotion(value: Column) -> Column:
     """A missing object or a missing amount means no discount; a null one is an error."""
     amount = F.try_variant_get(value, "$.Amount", "variant")
     is_object = F.schema_of_variant(value).startswith("OBJECT")
-    return F.when(value.isNull() | (is_object & amount.isNull()), 0).otherwise(money.number(amount))
+    return F.when(value.isNull() | (amount.isNull() & is_object), 0).otherwise(money.number(amount))
 
 
 def _read(p: DataFrame, currency: Column) -> DataFrame:

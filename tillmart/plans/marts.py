@@ -84,21 +84,28 @@ def days_moved(
     ``before`` and ``after`` are session touches, user touches and orders. Besides the days that
     lost or gained rows: those with events of sessions whose first touch moved, those with orders
     of users whose last touch moved, and those with events of users whose main platform moved. Only
-    sessions and users of the changed days are looked at.
+    sessions and users of the changed days are looked at, and they are looked for on the other days
+    alone; where there are none nothing is compared.
     """
     days = {*order_days, *log_days}
+
+    def others(rows: DataFrame, day: str) -> DataFrame | None:
+        rest = rows.where(~F.col(day).isin(*map(F.lit, sorted(days))))
+        return None if rest.isEmpty() else rest
+
     if log_days:
         in_days = F.col("event_date").isin(*map(F.lit, log_days))
         for n, key, merged in ((0, "session_id", attribution.first_of), (1, "user_id", attribution.last_of)):
+            day = ("event_date", "paid_date")[n]
+            rest = others((after[0], attribution.with_status(after[2], "PAID"))[n], day)
+            if rest is None:
+                continue
             seen = after[n].where(in_days).select(key).distinct()
             old, new = (merged(x[n].join(seen, key, "left_semi")) for x in (before, after))
             moved = _moved(old, new, key, "utm_source", None)
-            if n == 0:
-                days |= _dates(after[0].join(moved, key, "left_semi"), "event_date")
-            else:
-                paid = attribution.with_status(after[2], "PAID")
-                days |= _dates(paid.join(moved, key, "left_semi"), "paid_date")
-    if order_days:
+            days |= _dates(rest.join(moved, key, "left_semi"), day)
+    rest = others(after[1], "event_date") if order_days else None
+    if rest is not None:
         in_days = F.col("paid_date").isin(*map(F.lit, order_days))
         users = before[2].where(in_days).select("user_id").union(after[2].where(in_days).select("user_id"))
         users = users.distinct()
@@ -106,7 +113,7 @@ def days_moved(
             attribution.main_platform(x[2].join(users, "user_id", "left_semi")) for x in (before, after)
         )
         moved = _moved(old, new, "user_id", "platform", DEFAULT_PLATFORM)
-        days |= _dates(after[1].join(moved, "user_id", "left_semi"), "event_date")
+        days |= _dates(rest.join(moved, "user_id", "left_semi"), "event_date")
     return days
 
 

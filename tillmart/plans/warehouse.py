@@ -25,7 +25,7 @@ from tillmart.schemas import (
 )
 from tillmart.sources import raw_zone
 from tillmart.sources.day_table import DayTable
-from tillmart.sources.shared import existing_json, scratch
+from tillmart.sources.shared import existing_json, scratch, side_by_side
 
 logger = logging.getLogger(__name__)
 
@@ -167,8 +167,13 @@ class Warehouse:
         moved = marts.days_moved(before, self._state(), order_stats.days, log_stats.days)
         days = marts.days_to_refresh(self.funnel, self.logs, moved, window)
         touches = marts.touches(self.sessions, self.users)
-        marts.refresh_funnel(self.funnel, self.orders.read(), self.logs.read(), window, touches, days)
-        marts.rebuild_rfm(self.rfm, self.orders.read(), as_of)
+        side_by_side(
+            self.spark,
+            lambda: marts.refresh_funnel(
+                self.funnel, self.orders.read(), self.logs.read(), window, touches, days
+            ),
+            lambda: marts.rebuild_rfm(self.rfm, self.orders.read(), as_of),
+        )
 
         enough = self.logs.size()[0] >= MIN_LOG_RECORDS
         if not enough:

@@ -62,24 +62,29 @@ def land(
         rows, texts = by_partition(rows), by_partition(texts)
     rows.write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(table)
     if json_folder is not None:
-        texts.write.mode("append").partitionBy(*RAW_PARTITIONS).text(json_folder, compression="gzip")
+        gzipped = texts.write.mode("append").partitionBy(*RAW_PARTITIONS).option("zlib.compress.level", "BEST_SPEED")
+        gzipped.text(json_folder, compression="gzip")
 
 
 def observed(rows: DataFrame, rules: quality.Rules) -> tuple[DataFrame, Observation]:
     """``rows`` flagged by the raw rules, counted by whatever writes them.
 
-    ``n``, ``bad``, and ``cancelled`` and ``refunded`` among the payloads of order feeds.
+    ``n``, ``bad``, and ``cancelled`` and ``refunded`` among the payloads of order feeds. A payload is
+    parsed for a status only if it holds that word, or an escape that could stand for it.
     """
-    status = F.coalesce(
-        F.get_json_object("payload_json", "$.orderStatus"), F.get_json_object("payload_json", "$.OrderStatus")
-    )
+    payload = F.col("payload_json")
+    status = F.coalesce(F.get_json_object(payload, "$.orderStatus"), F.get_json_object(payload, "$.OrderStatus"))
+
+    def says(word: str) -> Column:
+        return F.when(payload.contains(word) | payload.contains("\\"), status == word)
+
     seen = Observation()
     flagged = quality.with_violations(rows, rules).observe(
         seen,
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.size("violations") > 0).alias("bad"),
-        F.count_if(status == "CANCELLED").alias("cancelled"),
-        F.count_if(status == "REFUNDED").alias("refunded"),
+        F.count_if(says("CANCELLED")).alias("cancelled"),
+        F.count_if(says("REFUNDED")).alias("refunded"),
     )
     return flagged, seen
 

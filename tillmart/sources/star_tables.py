@@ -126,6 +126,17 @@ def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _quoted(text: Column) -> Column:
+    """JSON text of a value without quotes, backslashes or control characters."""
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def _object(fields: dict[str, Column]) -> Column:
+    """JSON object of values that are JSON already; null ones are left out, as ``to_json`` does."""
+    given = [F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *given), F.lit("}"))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order payloads: each order once as new, and again three days later if its status moved."""
     new = F.struct(
@@ -142,31 +153,39 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     def iso(at: Column) -> Column:
         return F.replace(at.cast("string"), F.lit(" "), F.lit("T"))
 
-    naver = [
-        F.col("order_id").alias("orderNo"),
-        F.when(F.col("user_id").cast("bigint") % 50 == 0, "").otherwise(F.col("user_id")).alias("buyerId"),
-        F.col("product_id").alias("productNo"),
-        F.col("payment_amount").alias("totalPayment"),
-        F.col("discount_amount").alias("discountAmt"),
-        F.lit("KRW").alias("currency"),
-        iso(F.col("paid_at")).alias("paidDatetime"),
-        F.col("sent.status").alias("orderStatus"),
-    ]
-    promotion = F.struct(F.col("discount_amount").alias("Amount"), F.lit("USD").alias("CurrencyCode"))
-    amazon = [
-        F.col("order_id").alias("AmazonOrderId"),
-        F.col("user_id").alias("BuyerEmail"),
-        F.col("product_id").alias("ASIN"),
-        F.struct(F.col("payment_amount").alias("Amount"), F.lit("USD").alias("CurrencyCode")).alias("OrderTotal"),
-        F.when(F.col("discount_amount").isNotNull(), promotion).alias("PromotionDiscount"),
-        F.concat(iso(F.timestamp_add("HOUR", F.lit(-9), F.col("paid_at"))), F.lit("Z")).alias("PurchaseDate"),
-        F.col("sent.status").alias("OrderStatus"),
-    ]
+    # Numbers, times and codes: nothing in them needs escaping.
+    order, buyer, product = (_quoted(F.col(c)) for c in ("order_id", "user_id", "product_id"))
+    status = _quoted(F.col("sent.status"))
+    paid, discount = (F.col(c).cast("string") for c in ("payment_amount", "discount_amount"))
+    naver = {
+        "orderNo": order,
+        "buyerId": F.when(F.col("user_id").cast("bigint") % 50 == 0, '""').otherwise(buyer),
+        "productNo": product,
+        "totalPayment": paid,
+        "discountAmt": discount,
+        "currency": F.lit('"KRW"'),
+        "paidDatetime": _quoted(iso(F.col("paid_at"))),
+        "orderStatus": status,
+    }
+
+    def price(amount: Column) -> Column:
+        return _object({"Amount": amount, "CurrencyCode": F.lit('"USD"')})
+
+    utc = F.timestamp_add("HOUR", F.lit(-9), F.col("paid_at"))
+    amazon = {
+        "AmazonOrderId": order,
+        "BuyerEmail": buyer,
+        "ASIN": product,
+        "OrderTotal": price(paid),
+        "PromotionDiscount": F.when(discount.isNotNull(), price(discount)),
+        "PurchaseDate": _quoted(F.concat(iso(utc), F.lit("Z"))),
+        "OrderStatus": status,
+    }
     is_naver = F.col("platform") == "NAVER"
     return raw_rows(
         sent,
         F.when(is_naver, "naver_commerce_api").otherwise("amazon_sp_api"),
-        F.when(is_naver, F.to_json(F.struct(*naver))).otherwise(F.to_json(F.struct(*amazon))),
+        F.when(is_naver, _object(naver)).otherwise(_object(amazon)),
         batch_date=F.col("sent.batch"),
         fetched_at=F.date_add("sent.batch", 1),
         raw_id=F.concat_ws("-", F.lit("o"), F.col("order_id"), F.col("sent.no").cast("string")),
